@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartulary.llm import packing, quality_rules, secret_scan, simhash, toxicity
-from cartulary.llm.common import fold_of, read_table
+from cartulary.llm import language_model, packing, quality_rules, secret_scan, simhash, token_output, toxicity
+from cartulary.llm.common import fold_of, read_table, shared_root
 from cartulary.session import shipped
 
 #: Where the vocabulary files of public tokenizers are.
@@ -21,6 +22,19 @@ def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_assign", "n_access", "n_hex", F.sha2("base_spans", 256).alias("base_sha256"), "spans", "n_layers")
 
 
+def op4_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = f"{shared_root(spark)}/cartulary-segments-{uuid.uuid4().hex}"
+    token_output.write_segments(read_table(spark, sf_dir, "documents"), path, tokenizer=TOKENIZER_PATH("word_bpe_49k.json"), end_id=1)
+    return token_output.read_segments(spark, path).withColumnRenamed("id", "doc_id")
+
+
+def op5_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    net, counts = language_model.fit(docs.where(fold_of(F.col("doc_id")) != 1))
+    scored = language_model.score(docs, net, counts)
+    return scored.select("doc_id", (fold_of(F.col("doc_id")) == 1).alias("held_out"), "n_tokens", "n_known", F.lit(net.v.total).cast("long").alias("train_tokens"), "base_score", "score")
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
     model = toxicity.fit_toxicity(docs, labels.where(fold_of(F.col("doc_id")) != 0))
@@ -45,7 +59,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     import corpus_pipeline
 
-    ops = (op2_secret_scan, op7_toxicity, op8_simhash, op9_packing, op10_quality_rules)
+    ops = (op2_secret_scan, op4_token_output, op5_language_model, op7_toxicity, op8_simhash, op9_packing, op10_quality_rules)
     return {f.__name__: shipped(f) for f in ops} | {"pipeline": corpus_pipeline.run}
 
 
