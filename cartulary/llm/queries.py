@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartulary.llm import language_model, packing, quality_rules, secret_scan, simhash, token_output, toxicity
+from cartulary.llm import fingerprints, language_model, packing, quality_rules, secret_scan, simhash, token_output, toxicity
 from cartulary.llm.common import fold_of, read_table, shared_root
 from cartulary.session import shipped
 
@@ -17,6 +17,10 @@ from cartulary.session import shipped
 TOKENIZER_PATH = public_tokenizers.path
 
 
+def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprint_versions(read_table(spark, sf_dir, "documents"))
+
+
 def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secret_scan.scan_secrets(read_table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_assign", "n_access", "n_hex", F.sha2("base_spans", 256).alias("base_sha256"), "spans", "n_layers")
@@ -59,7 +63,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     import corpus_pipeline
 
-    ops = (op2_secret_scan, op4_token_output, op5_language_model, op7_toxicity, op8_simhash, op9_packing, op10_quality_rules)
+    ops = (op1_fingerprints, op2_secret_scan, op4_token_output, op5_language_model, op7_toxicity, op8_simhash, op9_packing, op10_quality_rules)
     return {f.__name__: shipped(f) for f in ops} | {"pipeline": corpus_pipeline.run}
 
 
