@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartulary.llm import fingerprints, language_model, packing, quality_rules, secret_scan, simhash, token_output, toxicity
+from cartulary.llm import fingerprints, language_model, licenses, merge_dropout, packing, quality_rules, secret_scan, simhash, token_output, toxicity
 from cartulary.llm.common import fold_of, read_table, shared_root
 from cartulary.session import shipped
 
@@ -26,6 +26,15 @@ def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_assign", "n_access", "n_hex", F.sha2("base_spans", 256).alias("base_sha256"), "spans", "n_layers")
 
 
+def op3_merge_dropout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ids_crc32 is over the ids' decimal texts, comma-joined; decoded_sha256 over the text that the ids decode to."""
+    model = TOKENIZER_PATH("piece_bpe_32k.model")
+    encoded = merge_dropout.encode_with_dropout(read_table(spark, sf_dir, "documents"), path=model)
+    encoded = encoded.withColumns({"n_ids": F.size("ids").cast("long"), "ids_crc32": F.crc32(F.concat_ws(",", F.col("ids").cast("array<string>")).cast("binary"))})
+    decoded = merge_dropout.decode(encoded, path=model, keep=("n_ids", "n_plain", "ids_crc32"))
+    return decoded.select("doc_id", "n_ids", "n_plain", "ids_crc32", F.sha2("text", 256).alias("decoded_sha256"))
+
+
 def op4_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = f"{shared_root(spark)}/cartulary-segments-{uuid.uuid4().hex}"
     token_output.write_segments(read_table(spark, sf_dir, "documents"), path, tokenizer=TOKENIZER_PATH("word_bpe_49k.json"), end_id=1)
@@ -39,6 +48,29 @@ def op5_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", (fold_of(F.col("doc_id")) == 1).alias("held_out"), "n_tokens", "n_known", F.lit(net.v.total).cast("long").alias("train_tokens"), "base_score", "score")
 
 
+def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan_licenses(read_table(spark, sf_dir, "documents"))
+
+
+def op6_sql() -> str:
+    values = ", ".join(f"('{name}', [{', '.join(repr(g) for g in grams)}])" for name, grams in licenses.templates())
+    return f"""
+    WITH t AS (SELECT name, grams, len(grams) AS b FROM (VALUES {values}) AS v(name, grams)),
+    r AS (SELECT row_number() OVER () AS rid, doc_id, list_distinct([coalesce(text, '')] || string_split(coalesce(text, ''), chr(10))) AS units FROM documents),
+    e AS (SELECT rid, doc_id, len(units) AS n_units, unnest(units) AS unit FROM r),
+    w AS (SELECT rid, doc_id, n_units, list_filter(string_split(regexp_replace(lower(unit), '[^0-9a-z]+', ' ', 'g'), ' '), x -> x <> '') AS w FROM e),
+    g AS (SELECT row_number() OVER () AS uid, rid, doc_id, n_units, list_distinct(list_transform(range(1, len(w)), i -> w[i] || ' ' || w[i + 1])) AS g FROM w),
+    s AS (SELECT uid, rid, name, b, 2.0::DOUBLE * len(list_intersect(grams, g)) / (b + len(g)) AS score FROM g JOIN t
+          ON b * {2 - licenses.THRESHOLD} >= len(g) * {licenses.THRESHOLD} AND b * {licenses.THRESHOLD} <= len(g) * {2 - licenses.THRESHOLD}),
+    h AS (SELECT * FROM s WHERE score >= {licenses.THRESHOLD}),
+    best AS (SELECT rid, name, score FROM h QUALIFY row_number() OVER (PARTITION BY rid ORDER BY score DESC, b DESC, name) = 1),
+    n AS (SELECT rid, count(DISTINCT uid) AS n_matches FROM h GROUP BY rid),
+    d AS (SELECT DISTINCT rid, doc_id, n_units FROM e)
+    SELECT doc_id, name AS license, coalesce(score, 0.0::DOUBLE) AS score, coalesce(n_matches, 0) AS n_matches, n_units
+    FROM d LEFT JOIN best USING (rid) LEFT JOIN n USING (rid)
+    """
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
     model = toxicity.fit_toxicity(docs, labels.where(fold_of(F.col("doc_id")) != 0))
@@ -63,11 +95,11 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     import corpus_pipeline
 
-    ops = (op1_fingerprints, op2_secret_scan, op4_token_output, op5_language_model, op7_toxicity, op8_simhash, op9_packing, op10_quality_rules)
+    ops = (op1_fingerprints, op2_secret_scan, op3_merge_dropout, op4_token_output, op5_language_model, op6_licenses, op7_toxicity, op8_simhash, op9_packing, op10_quality_rules)
     return {f.__name__: shipped(f) for f in ops} | {"pipeline": corpus_pipeline.run}
 
 
 def oracle_sql() -> dict[str, str]:
     import corpus_pipeline
 
-    return {"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}
+    return {"op6_licenses": op6_sql()} | ({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})
