@@ -64,7 +64,7 @@ def partial_date(x: Column) -> Column:
 
 def luhn_ok(x: Column) -> Column:
     digits = F.regexp_replace(x, r"\D", "")
-    return (F.length(digits) >= 12) & F.luhn_check(digits)
+    return (F.length(digits) >= 12) & F.call_function("luhn_check", digits)
 
 
 def birth_number_ok(six: Column) -> Column:

@@ -23,6 +23,11 @@ def escaped(marks: str) -> str:
     return "[" + "".join("\\" + c if c.isascii() else c for c in dict.fromkeys(marks)) + "]"
 
 
+def let(value: Column, use) -> Column:
+    """use(value) with value evaluated once: what a lambda refers to is else evaluated for each element."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def strip(x: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(x, r"(?U)^\s+", ""), r"(?U)\s+$", "")
 
@@ -93,10 +98,12 @@ def jaccard(a: Column, b: Column) -> Column:
 
 def char_bigram_tokens(x: Column) -> Column:
     """Words of a text in N4, then bigrams of its characters without spaces; repeats kept."""
-    words = F.filter(F.split(x, " "), lambda w: w != "")
-    tight = F.replace(x, F.lit(" "), F.lit(""))
-    pairs = F.when(F.length(tight) >= 2, F.transform(F.sequence(F.lit(1), F.greatest(F.length(tight) - 1, F.lit(1))), lambda i: F.substring(tight, i, F.lit(2)))).otherwise(F.array().cast("array<string>"))
-    return F.concat(words, pairs)
+
+    def pairs(chars: Column) -> Column:
+        n = F.greatest(F.size(chars) - 1, F.lit(0))
+        return F.zip_with(F.slice(chars, F.lit(1), n), F.slice(chars, F.lit(2), n), lambda a, b: F.concat(a, b))
+
+    return let(x, lambda y: F.concat(F.filter(F.split(y, " "), lambda w: w != ""), let(char_bag(y), pairs)))
 
 
 def char_bag(x: Column) -> Column:
@@ -112,8 +119,12 @@ def _common(a: Column, b: Column) -> Column:
 
 def bag_f1(a: Column, b: Column) -> Column:
     """F1 of two bags: both empty 1, one empty 0."""
-    n, x, y = _common(a, b).cast("double"), F.size(a), F.size(b)
-    return F.when((x == 0) & (y == 0), F.lit(1.0)).when((x == 0) | (y == 0) | (n == 0), F.lit(0.0)).otherwise(2 * (n / x) * (n / y) / (n / x + n / y))
+
+    def f1(p: Column) -> Column:
+        n, x, y = _common(p["a"], p["b"]).cast("double"), F.size(p["a"]), F.size(p["b"])
+        return F.when((x == 0) & (y == 0), F.lit(1.0)).when((x == 0) | (y == 0), F.lit(0.0)).otherwise(let(n, lambda k: F.when(k == 0, F.lit(0.0)).otherwise(2 * (k / x) * (k / y) / (k / x + k / y))))
+
+    return let(F.struct(a.alias("a"), b.alias("b")), f1)
 
 
 def char_f1(prediction: Column, gold: Column, *, normaliser=norm_answer, **options) -> Column:

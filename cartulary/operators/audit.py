@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from cartulary.functions.text import let
+
 
 class LeakageError(ValueError):
     """Rows are where they must not be."""
@@ -34,9 +36,13 @@ def assert_no_leak(candidates: DataFrame, held_out: DataFrame, key: str, *, wher
 
 
 def word_ngrams(text: Column, n: int) -> Column:
-    words = F.regexp_extract_all(F.lower(text), F.lit(r"(?U)(\w+)"), 1)
-    grams = F.transform(F.sequence(F.lit(1), F.greatest(F.size(words) - (n - 1), F.lit(1))), lambda i: F.concat_ws(" ", F.slice(words, i, F.lit(n))))
-    return F.array_distinct(F.when(F.size(words) >= n, grams).otherwise(F.array().cast("array<string>")))
+    """The distinct runs of n words of a text."""
+
+    def grams(words: Column) -> Column:
+        every = F.transform(F.sequence(F.lit(1), F.greatest(F.size(words) - (n - 1), F.lit(1))), lambda i: F.concat_ws(" ", F.slice(words, i, F.lit(n))))
+        return F.array_distinct(F.when(F.size(words) >= n, every).otherwise(F.array().cast("array<string>")))
+
+    return let(F.regexp_extract_all(F.lower(text), F.lit(r"(?U)(\w+)"), 1), grams)
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, *, n: int = 8, doc_id: str = "doc_id", item_id: str = "item_id", text: str = "text") -> DataFrame:

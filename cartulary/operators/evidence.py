@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from cartulary.functions.numbers import answer_numbers, close_to, computed, evidence_numbers, groundable
 from cartulary.functions.pii import has_real
-from cartulary.functions.text import looks_ocr_noisy, norm_quote, quote_sha256, strip
+from cartulary.functions.text import let, looks_ocr_noisy, norm_quote, quote_sha256, strip
 
 # Categories that call for abstention or need no grounding, markers of abstention, weights, error order.
 ABSTAIN = ("unanswerable", "conflicting_evidence", "prompt_injection")
@@ -83,7 +83,7 @@ def rewards(records: DataFrame, *, markers: tuple[str, ...], latest_version: str
     validity = F.when(F.size(e) > 0, F.size(F.filter(e, good)) / F.size(e)).when(abstain_kind | ~answerable, 1.0).otherwise(0.0)
     quoted = F.flatten(F.transform(e, lambda x: groundable(x["quote"])))
     said = groundable(answer)
-    numeric = F.when(F.coalesce(F.col("category").isin(*UNGROUNDED), F.lit(False)) | ~answerable | (F.size(said) == 0), 1.0).otherwise(F.size(F.filter(said, lambda t: F.array_contains(quoted, t))) / F.size(said))
+    numeric = F.when(F.coalesce(F.col("category").isin(*UNGROUNDED), F.lit(False)) | ~answerable | (F.size(said) == 0), 1.0).otherwise(let(F.struct(said.alias("s"), quoted.alias("q")), lambda p: F.size(F.filter(p["s"], lambda t: F.array_contains(p["q"], t))) / F.size(p["s"])))
     first = F.get(F.filter(F.transform(evidence_numbers(answer), lambda n: n.try_cast("double")), lambda x: x.isNotNull()), F.lit(0))
     op = F.col("computation.op")
     expected = F.when(op.isin("sum", "difference", "product", "ratio", "percent"), computed(op, F.col("computation.operands"))).otherwise(F.col("answer_value"))

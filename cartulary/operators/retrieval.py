@@ -59,7 +59,8 @@ def lexical(corpus: DataFrame, queries: DataFrame, *, k: int = 5, corpus_id: str
 
 
 def _top(scored: DataFrame, k: int) -> DataFrame:
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), F.col("element_id").cast("string"))
+    # Sums in another order differ in their last digits; elements that only so differ are tied.
+    order = Window.partitionBy("query_id").orderBy(F.desc(F.round("score", 9)), F.col("element_id").cast("string"))
     return scored.withColumn("rank", F.row_number().over(order) - 1).where(F.col("rank") < k)
 
 

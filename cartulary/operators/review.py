@@ -60,7 +60,7 @@ def chain_faults(events: DataFrame, *, order: tuple[str, ...] = ("seq",)) -> Dat
 
 def latest(events: DataFrame, *, order: tuple[str, ...] = ("seq",)) -> DataFrame:
     """The last event of each qa_id as (qa_id, action, reviewer, event_id, review_status). Partly summed in tasks."""
-    last = events.groupBy("qa_id").agg(F.max(F.struct(*order, "action", "reviewer", "event_id")).alias("e"))
+    last = events.groupBy("qa_id").agg(F.max(F.struct(*dict.fromkeys((*order, "action", "reviewer", "event_id")))).alias("e"))
     return last.select("qa_id", "e.action", "e.reviewer", "e.event_id", status_of(F.col("e.action")).alias("review_status"))
 
 

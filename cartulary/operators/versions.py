@@ -79,7 +79,8 @@ def partition_for_export(records: DataFrame, *, as_of: str | None = None, order:
 def mutable_fact_report(records: DataFrame, *, as_of: str | None = None, order: str = "pos") -> DataFrame:
     """One row over facts with a mutable record."""
     facts = select_sources(records, as_of=as_of, order=order).where("mutable")
-    picked = facts.join(records.select(F.col("qa_id").alias("selected_id"), F.col("fact").alias("_fact"), "source_status").dropDuplicates(["selected_id", "_fact"]), (F.col("fact") == F.col("_fact")) & (facts["selected_id"] == F.col("selected_id")), "left")
+    status = records.select(F.col("qa_id").alias("_id"), F.col("fact").alias("_fact"), "source_status").dropDuplicates(["_id", "_fact"])
+    picked = facts.select("fact", "selected_id", "abstain").join(status, (F.col("fact") == F.col("_fact")) & (F.col("selected_id") == F.col("_id")), "left")
     return picked.agg(F.count("*").alias("n_mutable_facts"), F.count_if(~F.col("abstain")).alias("resolved"), F.count_if("abstain").alias("abstained"), F.count_if(~F.col("abstain") & (F.col("source_status") == "active")).alias("recency_ok"))
 
 
