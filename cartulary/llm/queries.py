@@ -58,8 +58,8 @@ def op6_sql() -> str:
     WITH t AS (SELECT name, grams, len(grams) AS b FROM (VALUES {values}) AS v(name, grams)),
     r AS (SELECT row_number() OVER () AS rid, doc_id, list_distinct([coalesce(text, '')] || string_split(coalesce(text, ''), chr(10))) AS units FROM documents),
     e AS (SELECT rid, doc_id, len(units) AS n_units, unnest(units) AS unit FROM r),
-    w AS (SELECT rid, doc_id, n_units, list_filter(string_split(regexp_replace(lower(unit), '[^0-9a-z]+', ' ', 'g'), ' '), x -> x <> '') AS w FROM e),
-    g AS (SELECT row_number() OVER () AS uid, rid, doc_id, n_units, list_distinct(list_transform(range(1, len(w)), i -> w[i] || ' ' || w[i + 1])) AS g FROM w),
+    w AS (SELECT rid, doc_id, n_units, list_filter(string_split(regexp_replace(lower(unit), '[^0-9a-z]+', ' ', 'g'), ' '), lambda x: x <> '') AS w FROM e),
+    g AS (SELECT row_number() OVER () AS uid, rid, doc_id, n_units, list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS g FROM w),
     s AS (SELECT uid, rid, name, b, 2.0::DOUBLE * len(list_intersect(grams, g)) / (b + len(g)) AS score FROM g JOIN t
           ON b * {2 - licenses.THRESHOLD} >= len(g) * {licenses.THRESHOLD} AND b * {licenses.THRESHOLD} <= len(g) * {2 - licenses.THRESHOLD}),
     h AS (SELECT * FROM s WHERE score >= {licenses.THRESHOLD}),
