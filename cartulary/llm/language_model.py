@@ -22,8 +22,9 @@ read.
 
 from __future__ import annotations
 
+import heapq
 import zlib
-from collections import Counter, deque
+from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
@@ -36,6 +37,8 @@ from cartulary.llm.common import materialize, record_batch, slices, texts_of
 
 END = ""  # no word is empty
 TAIL_CLASSES = 16
+#: Documents that wait for a lane at most (and one batch more), so that long ones can go first.
+WAITING = 1024
 
 
 def words_of(text: str) -> list[bytes]:
@@ -134,10 +137,11 @@ class Reader:
         words = words_of(text)
         get = self.rank.get
         at = np.array([get(w, -1) for w in words] + [self.end], dtype=np.int64)
-        unknown = Counter(words[i] for i in np.flatnonzero(at < 0)) if (at < 0).any() else Counter()
         tokens = self.token[at]
-        for i in np.flatnonzero(at < 0):
-            tokens[i] = self.v.head + tail_class(words[i])
+        new = np.flatnonzero(at < 0)
+        met = [words[i] for i in new.tolist()]
+        tokens[new] = [self.v.head + tail_class(w) for w in met]
+        unknown = Counter(met)
         known = at[at >= 0]
         logs = self.log_count[known]
         tail = tokens >= self.v.head
@@ -176,7 +180,11 @@ class Network:
             if fresh[t].any():
                 h = np.where(fresh[t][:, None], np.float32(0), h)
             g = h @ u
-            zr = 1 / (1 + np.exp(-(drive[t, :, : 2 * s] + g[:, : 2 * s])))
+            zr = drive[t, :, : 2 * s] + g[:, : 2 * s]
+            zr *= -1
+            np.exp(zr, out=zr)
+            zr += 1
+            np.reciprocal(zr, out=zr)
             n = np.tanh(drive[t, :, 2 * s :] + zr[:, s:] * g[:, 2 * s :])
             if keep:
                 saved.append((h, zr, n, g[:, 2 * s :]))
@@ -190,12 +198,13 @@ class Network:
         w = self.w
         logits = states @ w["c"]
         logits += w["cb"]
-        logits -= logits.max(axis=1, keepdims=True)
-        e = np.exp(logits)
-        total = e.sum(axis=1)
         cls = self.v.classes[targets]
         rows = np.arange(len(targets))
-        out = logits[rows, cls] - np.log(total)
+        np.clip(logits, -80.0, 80.0, out=logits)  # float32 holds exp of these, so no row's greatest is needed
+        out = logits[rows, cls]
+        e = np.exp(logits, out=logits)
+        total = e @ np.ones(e.shape[1], np.float32)
+        out = out - np.log(total)
         back = None
         if grads is not None:
             e /= total[:, None]
@@ -261,11 +270,23 @@ class Lanes:
     def __init__(self, lanes: int, steps: int, end: int):
         self.shape, self.end = (steps, lanes), end
         self.now: list[tuple[np.ndarray, int, int] | None] = [None] * lanes
-        self.queue: deque = deque()
+        self.queue: list[tuple[int, int, np.ndarray]] = []  # a heap: the longest first, so that none is left over alone
+
+    def add(self, tokens: np.ndarray, number: int) -> None:
+        heapq.heappush(self.queue, (-len(tokens), number, tokens))
 
     def busy(self) -> bool:
         return bool(self.queue) or any(x is not None for x in self.now)
 
+    def narrow(self, h: np.ndarray) -> np.ndarray:
+        """Drops lanes that no document will use any more, and their states."""
+        if self.queue or None not in self.now:
+            return h
+        kept = [i for i, x in enumerate(self.now) if x is not None]
+        self.now = [self.now[i] for i in kept]
+        self.shape = (self.shape[0], len(kept))
+        return h[kept]
+
     def window(self):
         steps, lanes = self.shape
         inputs = np.full((lanes, steps), self.end, np.int32)
@@ -277,7 +298,7 @@ class Lanes:
                 if self.now[i] is None:
                     if not self.queue:
                         break
-                    tokens, number = self.queue.popleft()
+                    _, number, tokens = heapq.heappop(self.queue)
                     self.now[i] = (tokens, number, 0)
                 tokens, number, at = self.now[i]
                 n = min(steps - t, len(tokens) - at)
@@ -293,7 +314,7 @@ class Lanes:
         return inputs.T, targets.T, np.ascontiguousarray(fresh.T), np.ascontiguousarray(live.T), doc.T
 
 
-def train_round(docs: DataFrame, sent, *, text_col: str, rate: float, lanes: int = 32, steps: int = 24, partials: int = 16) -> dict | None:
+def train_round(docs: DataFrame, sent, *, text_col: str, rate: float, lanes: int = 64, steps: int = 24, partials: int = 16) -> dict | None:
     """One round of training on docs from the weights in sent (a broadcast network): the tasks' weights, averaged."""
 
     def local(batches):
@@ -303,10 +324,11 @@ def train_round(docs: DataFrame, sent, *, text_col: str, rate: float, lanes: int
         flow = Lanes(lanes, steps, reader.end)
         h = np.zeros((lanes, net.size), np.float32)
         moments = {k: (np.zeros_like(a), np.zeros_like(a)) for k, a in net.w.items()}
-        n = step = 0
+        n = step = n_read = 0
 
         def learn():
             nonlocal h, n, step
+            h = flow.narrow(h)
             inputs, targets, fresh, live, _ = flow.window()
             grads, h = net.gradients(inputs, targets, fresh, live, h)
             n += int(live.sum())
@@ -321,8 +343,9 @@ def train_round(docs: DataFrame, sent, *, text_col: str, rate: float, lanes: int
 
         for b in slices(batches):
             for text in texts_of(b, text_col):
-                flow.queue.append((reader.read(text)[0], 0))
-            while len(flow.queue) >= lanes:
+                flow.add(reader.read(text)[0], n_read)
+                n_read += 1
+            while len(flow.queue) >= WAITING:
                 learn()
         while flow.busy():
             learn()
@@ -395,6 +418,7 @@ def score(docs: DataFrame, net: Network, counts: DataFrame, *, id_col: str = "do
 
         def window():
             nonlocal h
+            h = flow.narrow(h)
             inputs, targets, fresh, live, doc = flow.window()
             states, h, _ = net.run(inputs, fresh, h)
             cells = live.ravel()
@@ -415,9 +439,9 @@ def score(docs: DataFrame, net: Network, counts: DataFrame, *, id_col: str = "do
             for rid, doc_id, text in zip(b.column("rid").to_pylist(), b.column(id_col).to_pylist(), texts_of(b, text_col), strict=True):
                 tokens, logs, parts, n_known, unknown = reader.read(text)
                 held[number] = {"rid": rid, id_col: doc_id, "n_tokens": len(tokens), "known": n_known, "logs": logs, "model": parts, "words": [w.decode("utf-8") for w in unknown], "times": list(unknown.values()), "left": len(tokens)}
-                flow.queue.append((tokens, number))
+                flow.add(tokens, number)
                 number += 1
-            while len(flow.queue) >= lanes:
+            while len(flow.queue) >= WAITING:
                 window()
             yield done()
         while flow.busy():
