@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from cartulary.tables import materialize
+
 MAX_PDF_BYTES = 50 << 20
 
 
@@ -18,6 +20,7 @@ def read_jsonl_or_nothing(spark: SparkSession, path: str, schema: str) -> DataFr
     """Rows of the files without a single bad line."""
     full = StructType([*StructType.fromDDL(schema).fields, StructField("_bad", StringType())])
     rows = spark.read.schema(full).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_bad").json(path).withColumn("_file", F.input_file_name())
+    rows = materialize(rows, "jsonl")  # the reader tells bad lines only along with the others'
     bad = rows.where("_bad is not null").select("_file").distinct()
     return rows.join(bad, "_file", "left_anti").drop("_bad", "_file")
 
