@@ -149,8 +149,9 @@ def ends_in_bieup(word: Column) -> Column:
 
 
 def clip(x: Column, limit: int) -> Column:
-    """The text, or its first limit characters, stripped at the right, with an ellipsis."""
-    return F.when(F.length(x) <= limit, x).otherwise(F.concat(F.regexp_replace(F.substring(x, 1, limit), r"(?U)\s+$", ""), F.lit("…")))
+    """F16: the stripped text, or its first limit characters, a space and an ellipsis."""
+    end = lambda y: F.regexp_replace(F.substring(y, 1, limit), r"(?U)\s+$", "")
+    return let(strip(x), lambda y: F.when(F.length(y) <= limit, y).otherwise(F.concat(end(y), F.lit(" …"))))
 
 
 def looks_ocr_noisy(x: Column) -> Column:

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cartulary.functions import jsons, numbers, pii, policy, text
-from cartulary.operators import audit, evidence, layout, metrics, quality, report, retrieval, review, rubric, training, versions
+from cartulary.operators import audit, evidence, layout, lookup, metrics, quality, report, retrieval, review, rubric, training, versions
 from cartulary.session import shipped
 
 _queries: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -645,3 +645,37 @@ def label_agreement(spark, sf_dir):
 def top_k_per_group(spark, sf_dir):
     order = Window.partitionBy("s_nationkey").orderBy(F.desc("s_acctbal"), "s_suppkey")
     return table(spark, sf_dir, "supplier").withColumn("n", F.row_number().over(order)).where("n <= 3").select("s_nationkey", "s_suppkey", "s_acctbal")
+
+
+@registered("SELECT n_nationkey AS ask_id, coalesce(min(CASE WHEN r_regionkey = n_nationkey THEN r_regionkey END), arg_min(r_regionkey, r_regionkey) FILTER (contains(lower(r_name), lower(left(n_name, 1))))) AS found FROM nation, region GROUP BY n_nationkey")
+def question_lookup(spark, sf_dir):
+    asked = table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("ask_id"), F.col("n_nationkey").alias("qa_id"), F.left("n_name", F.lit(1)).alias("question"))
+    catalog = table(spark, sf_dir, "region").select(F.col("r_regionkey").alias("qa_id"), F.col("r_regionkey").alias("pos"), F.col("r_name").alias("question"))
+    return lookup.resolve_questions(asked, catalog)
+
+
+@registered("SELECT * FROM (VALUES ('uncovered', 'docs/a.png'), ('unused', 'old/*.bin')) AS t(kind, name)")
+def ledger_gaps(spark, sf_dir):
+    assets = spark.createDataFrame([("img/x.png",), ("img/sub/y.png",), ("docs/a.png",), ("data+1.csv",)], "path string")
+    return lookup.ledger_gaps(assets, spark.createDataFrame([("img/*.png",), ("data+?.csv",), ("old/*.bin",)], "pattern string"))
+
+
+@registered("SELECT * FROM (VALUES ('r', '/a/b', 1.5::DOUBLE, 1.5::DOUBLE, true), ('r', '/c/1', 3.0, 2.0, false), ('r', '/none', 1.0, NULL, false)) AS t(doc, pointer, claimed, found, ok)")
+def claim_check(spark, sf_dir):
+    docs = spark.createDataFrame([("r", '{"a": {"b": 1.5}, "c": [1, 2]}')], "doc string, body string")
+    return lookup.check_claims([("r", "/a/b", 1.5), ("r", "/c/1", 3.0), ("r", "/none", 1.0)], docs)
+
+
+SCALARS = (("abcdefgh ij", "<think>x</think> 정답: A: yes\nno", "a/b.JPG", "ok text"), ("abc", "plain", "x.bmp", "■■"), ("", "", "", "||| ### ***"))
+
+
+@registered("SELECT * FROM (VALUES ('abcdef …', 'yes', 'jpeg', false), ('abc', 'plain', 'bmp', true), ('', '', 'png', true)) AS t(clipped, answer, subtype, noisy)")
+def scalar_texts(spark, sf_dir):
+    rows = spark.createDataFrame(SCALARS, "a string, b string, c string, d string")
+    return rows.select(text.clip(F.col("a"), 6).alias("clipped"), text.after_thinking(F.col("b")).alias("answer"), text.image_subtype(F.col("c")).alias("subtype"), text.looks_ocr_noisy(F.col("d")).alias("noisy"))
+
+
+@registered("SELECT i, v, d FROM (VALUES (0, 2.0::DOUBLE, DATE '2024-01-01'), (1, NULL, DATE '2024-03-01'), (2, 1.5, NULL)) AS t(i, v, d)")
+def versions_and_dates(spark, sf_dir):
+    rows = spark.createDataFrame([(0, "v2", "2024"), (1, "final", "2024-3"), (2, "rev1.5", "soon")], "i int, a string, b string")
+    return rows.select("i", numbers.version_number(F.col("a")).alias("v"), numbers.partial_date(F.col("b")).alias("d"))
