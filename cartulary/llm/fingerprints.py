@@ -38,6 +38,8 @@ CHECK_BITS = 24
 PARTING = r"\n+|(?<=[c-hC-H][.!?])\x20"
 #: A pair that is still unclear after so many sizes is an error (the chance is nil).
 MOST_TRIES = 12
+#: Rows to try again that are broadcast at most (about 60 bytes each, twice); beyond them the texts are joined by a shuffle.
+MOST_BROADCAST = 200_000
 
 
 def digests(text: Column) -> Column:
@@ -189,6 +191,17 @@ def _compare(rows: DataFrame, attempt: int) -> DataFrame:
     return _differences(_sketches(_sides(rows, RETRY**attempt), KEYS, salt), KEYS, salt)
 
 
+def _texts_of(left: DataFrame, texts: DataFrame, *, small: bool) -> DataFrame:
+    """left with text and next_text, both fetched in one pass over texts; where left is small it is sent to the texts'
+    tasks, so that only its own texts are shuffled."""
+    keys = ["bucket", "n", "id", "tie", "next_id", "next_tie"]
+    wanted = left.select(*keys, F.explode(F.array(*[F.struct(F.lit(role).alias("role"), F.col(i).alias("i"), F.col(t).alias("t")) for role, i, t in (("text", "id", "tie"), ("next", "next_id", "next_tie"))])).alias("w"))
+    wanted = wanted.select(*keys, "w.role", F.col("w.i").alias("_id"), F.col("w.t").alias("_tie"))
+    wanted = F.broadcast(wanted) if small else wanted
+    met = texts.withColumnsRenamed({"id": "_i", "tie": "_t"}).join(wanted, F.col("_i").eqNullSafe(F.col("_id")) & (F.col("_t") == F.col("_tie")))
+    return met.groupBy(*keys).agg(F.max(F.when(F.col("role") == "text", F.col("text"))).alias("text"), F.max(F.when(F.col("role") == "next", F.col("text"))).alias("next_text"))
+
+
 def fingerprint_versions(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """For each row: the text, its edited text (the last half of its code points replaced by as many of the next
     text's first) and the next text are sketched, and the first is compared with the others.
@@ -200,15 +213,14 @@ def fingerprint_versions(docs: DataFrame, *, id_col: str = "doc_id", text_col: s
     for attempt in range(1, MOST_TRIES + 1):
         unclear = F.col("d1").isNull() | F.col("d2").isNull()
         done.append(got.where(~unclear))
-        left = got.where(unclear).select("bucket", "n", "id", "tie", "next_id", "next_tie")
-        if left.isEmpty():
+        left = materialize(got.where(unclear).select("bucket", "n", "id", "tie", "next_id", "next_tie"), f"unclear-{attempt}")
+        n_left = left.count()
+        if not n_left:
             break
         if attempt == MOST_TRIES:
             raise RuntimeError("sketches that no size makes clear")
-        for side, name in (("", "text"), ("next_", "next_text")):
-            other = texts.select(F.col("id").alias("_id"), F.col("tie").alias("_tie"), F.col("text").alias(name))
-            left = left.join(other, F.col(f"{side}id").eqNullSafe(F.col("_id")) & (F.col(f"{side}tie") == F.col("_tie"))).drop("_id", "_tie")
-        got = materialize(_compare(left.dropDuplicates(["bucket", "n"]), attempt), f"sketches-{attempt}")
+        left = _texts_of(left, texts, small=n_left <= MOST_BROADCAST)
+        got = materialize(_compare(left, attempt), f"sketches-{attempt}")
     every = reduce(DataFrame.unionByName, done)
 
     def likeness(other: str, d: str) -> Column:
