@@ -224,6 +224,54 @@ def test_spanning_links_of_blocks():
     assert [forest.root(i) for i in range(len(fps))] == [want.root(i) for i in range(len(fps))]
 
 
+def test_similar_texts_are_those_at_a_jaccard_of_four_fifths(spark):
+    rng = random.Random(7)
+    texts = []
+    for i in range(120):  # pairs from 0.70 to 0.90, in groups of their own
+        words = [f"w{i}x{j}" for j in range(150)]
+        edited = list(words)
+        for k in range(1 + i % 8):
+            edited[10 + 17 * k] = f"other{k}"
+        texts += [" ".join(words), " ".join(edited)]
+    texts += ["one two three four five six seven eight", "one two three four five six seven eight nine", " ".join(["same line again here now"] * 40), " ".join(["same line again here now"] * 4), None, ""]
+    # One passage that stands in all of these, and a chain of edits.
+    passage = " ".join(f"common{j}" for j in range(60))
+    texts += [passage + " " + " ".join(f"q{i}r{rng.random()}" for _ in range(80)) for i in range(100)]
+    chain = [f"c{j}" for j in range(150)]
+    for k in range(9):
+        chain[8 + 15 * k] = f"link{k}"
+        texts.append(" ".join(chain))
+
+    def shingles(text):
+        w = (text or "").split()
+        return {" ".join(w[j : j + 5]) for j in range(max(1, len(w) - 4))} if w else set()
+
+    sets = [shingles(t) for t in texts]
+    root = list(range(len(texts)))
+    borders = 0
+    for a in range(len(sets)):
+        for b in range(a):
+            both, either = len(sets[a] & sets[b]), len(sets[a] | sets[b])
+            borders += 10 * both >= 8 * either and 100 * both < 85 * either
+            if 10 * both >= 8 * either and root[a] != root[b]:
+                old, new = max(root[a], root[b]), min(root[a], root[b])
+                root = [new if r == old else r for r in root]
+    assert borders > 14
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    got = {r["doc_id"]: r["component_id"] for r in simhash.similar_texts(frame).collect()}
+    assert got == dict(enumerate(root))
+
+
+def test_verified_links_of_blocks(spark):
+    texts = [" ".join(f"w{(j if j != 7 + 3 * i else -i)}" for j in range(160)) for i in range(40)]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    prints = simhash.set_prints(frame, words=5, seeds=(42,), id_col="doc_id", text_col="text")
+    nodes = simhash.materialize(prints.withColumnRenamed("doc_id", "least_id"), "nodes")
+    candidates = nodes.select("node").withColumn("root", simhash.F.lit(1).cast("long"))
+    edges = simhash.verified_edges(frame, nodes, candidates, words=5, max_bits=64, id_col="doc_id", text_col="text", block_rows=7)
+    assert simhash.components(edges).select("root").distinct().count() == 1 and simhash.components(edges).count() == 40
+
+
 def test_packing(spark, docs):
     rng = random.Random(4)
     counts = Counter(min(2048, int(rng.expovariate(1 / 400)) + 1) for _ in range(5000))
