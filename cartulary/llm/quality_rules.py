@@ -2,8 +2,10 @@
 
 Each text gives a vector of transformed, length-free statistics. Per language and source, location and scatter are
 estimated by the minimum covariance determinant: from a start by medians, concentration steps keep the share
-`support` of rows with the least Mahalanobis distance and estimate again. A text whose squared robust distance is
-over `cutoff` (by default a far quantile of chi-square) is rejected.
+`support` of rows with the least Mahalanobis distance and estimate again, until the determinant no longer falls. To be
+inverted the scatter gets a ridge of RIDGE of the group's own standard deviation, squared, on its diagonal. A text
+whose squared robust distance is over `cutoff` is rejected; by default the cutoff is a group's own: a far quantile
+that its median and upper quartile of distances set, and no less than that of chi-square.
 
 Every concentration step is one pass over the small table of vectors, pre-aggregated to one row of sums for each
 group and distance bin, so a group with a third of all rows costs its tasks no more than any other; only sums reach
@@ -18,6 +20,7 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
+from statistics import NormalDist
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -31,11 +34,15 @@ SYMBOLS = "#*$%&|<>"
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 
-#: The vector's statistics, and the least standard deviation each is taken to have.
+#: The vector's statistics.
 FEATURES = ("word_length", "symbols", "dup_lines", "repeats", "capitals", "marks", "digits")
-FLOORS = (0.10, 0.35, 0.35, 0.35, 0.35, 0.35, 0.35)
+#: What is added to the scatter to invert it: this share of the group's standard deviation, and an absolute least for
+#: statistics that are constant.
+RIDGE, LEAST = 0.01, 1e-6
+#: Concentration steps end by themselves; this only bounds them.
+STEPS = 60
 P = len(FEATURES)
-#: A text is an outlier beyond this quantile of the chi-square distribution.
+#: A text is an outlier beyond this quantile of its group's distances, as their quartiles set it.
 OUTLIER_SHARE = 0.99999
 CAPITALS = re.compile(r"[A-Z]")
 MARKS = re.compile(r"[!?.,;:]")
@@ -119,7 +126,8 @@ def _bin(d2):
 
 
 def _estimate(support: float):
-    """For applyInPandas over one group's bins (at most 513 rows): centre and inverse scatter from the nearest bins."""
+    """For applyInPandas over one group's bins (at most 513 rows): centre and inverse scatter from the nearest bins, or
+    those of the step before, and done, if the determinant does not fall."""
 
     consistent = consistency(support)
 
@@ -138,8 +146,12 @@ def _estimate(support: float):
         for i in range(P):
             for j in range(i, P):
                 cov[i, j] = cov[j, i] = near[f"s{i}_{j}"].sum() / k - shift[i] * shift[j]
-        cov = cov * consistent + np.diag(np.square(FLOORS))
-        return pd.DataFrame({"g": [key[0]], "m": [(old + shift).tolist()], "w": [np.linalg.inv(cov).ravel().tolist()]})
+        first, ridge = bins.iloc[0], np.array(bins["ridge"].iloc[0])
+        det = float(np.linalg.slogdet(cov + np.diag(ridge))[1])
+        if det >= first["det"] - 1e-9:
+            return pd.DataFrame({"g": [key[0]], "m": [old.tolist()], "w": [list(first["w"])], "ridge": [ridge.tolist()], "det": [first["det"]], "done": [True]})
+        inverse = np.linalg.inv(cov * consistent + np.diag(ridge))
+        return pd.DataFrame({"g": [key[0]], "m": [(old + shift).tolist()], "w": [inverse.ravel().tolist()], "ridge": [ridge.tolist()], "det": [det], "done": [False]})
 
     return run
 
@@ -170,8 +182,9 @@ def _chi2_cdf(x: float, k: int) -> float:
     return total * math.exp(-z + a * math.log(z) - math.lgamma(a))
 
 
-def robust_outliers(stats: DataFrame, *, groups: int, support: float = 0.75, steps: int = 4, min_group: int = 500) -> DataFrame:
-    """stats with d2, each row's squared robust distance within its group. stats should be a materialised table."""
+def robust_outliers(stats: DataFrame, *, groups: int, support: float = 0.75, steps: int = STEPS, min_group: int = 500) -> DataFrame:
+    """stats with d2, each row's squared robust distance within its group, and the group's cutoff (both null where no
+    group could be fitted). stats should be a materialised table."""
     names = [f"g{i}" for i in range(groups)]
     fit = stats.where(~F.col("base_failed"))
     sizes = fit.groupBy(*names).count()
@@ -184,30 +197,47 @@ def robust_outliers(stats: DataFrame, *, groups: int, support: float = 0.75, ste
     keys = materialize(keys, "quality-groups")
     tag = stats.join(keys.withColumnsRenamed({n: f"k_{n}" for n in names}), on=[stats[n].eqNullSafe(F.col(f"k_{n}")) for n in names], how="left").drop(*[f"k_{n}" for n in names])
     tag = tag.withColumn("g", F.coalesce("g", F.lit("[]")))
-    medians = tag.where(~F.col("base_failed")).groupBy("g").agg(*[F.percentile_approx(f"x{i}", [0.25, 0.5, 0.75], 2000).alias(f"q{i}") for i in range(P)])
-    spread = [F.pow(F.greatest((F.col(f"q{i}")[2] - F.col(f"q{i}")[0]) / 1.349, F.lit(FLOORS[i])), 2) + FLOORS[i] ** 2 for i in range(P)]
-    model = materialize(
-        medians.select("g", F.array(*[F.col(f"q{i}")[1] for i in range(P)]).alias("m"), F.array(*[1.0 / spread[i] if i == j else F.lit(0.0) for i in range(P) for j in range(P)]).alias("w")),
-        "quality-start",
+    medians = tag.where(~F.col("base_failed")).groupBy("g").agg(
+        *[F.percentile_approx(f"x{i}", [0.25, 0.5, 0.75], 2000).alias(f"q{i}") for i in range(P)],
+        F.array(*[F.pow(F.stddev_pop(f"x{i}") * RIDGE, 2) + LEAST**2 for i in range(P)]).alias("ridge"),
     )
+    spread = [F.pow((F.col(f"q{i}")[2] - F.col(f"q{i}")[0]) / 1.349, 2) + F.col("ridge")[i] for i in range(P)]
+    start = medians.select(
+        "g",
+        F.array(*[F.col(f"q{i}")[1] for i in range(P)]).alias("m"),
+        F.array(*[1.0 / spread[i] if i == j else F.lit(0.0) for i in range(P) for j in range(P)]).alias("w"),
+        "ridge",
+        F.lit(math.inf).alias("det"),
+        F.lit(False).alias("done"),
+    )
+    model = materialize(start, "quality-start")
     for step in range(steps):
-        rows = tag.where(~F.col("base_failed")).join(model, "g")
+        rows = tag.where(~F.col("base_failed")).join(model.where(~F.col("done")), "g")
         d = [F.col(f"x{i}") - F.col("m")[i] for i in range(P)]
         bins = rows.withColumn("bin", _bin(_distance())).groupBy("g", "bin").agg(
             F.count("*").alias("n"),
             *[F.sum(d[i]).alias(f"s{i}") for i in range(P)],
             *[F.sum(d[i] * d[j]).alias(f"s{i}_{j}") for i in range(P) for j in range(i, P)],
         )
-        bins = bins.join(model.select("g", "m"), "g")
-        model = materialize(bins.groupBy("g").applyInPandas(_estimate(support), "g string, m array<double>, w array<double>"), f"quality-step{step}")
-    return tag.join(model, "g", "left").withColumn("d2", F.when(F.col("m").isNotNull(), _distance())).drop("m", "w", "g")
+        bins = bins.join(model.drop("done"), "g")
+        moved = bins.groupBy("g").applyInPandas(_estimate(support), "g string, m array<double>, w array<double>, ridge array<double>, det double, done boolean")
+        model = materialize(moved.unionByName(model.where("done")), f"quality-step{step}")
+        if model.where(~F.col("done")).isEmpty():
+            break
+    near = tag.where(~F.col("base_failed")).join(model, "g").select("g", _distance().alias("d2"))
+    quartiles = near.groupBy("g").agg(F.percentile_approx("d2", [0.5, 0.75], 2000).alias("q"))
+    # Cube roots of chi-square variables are nearly normal, so their median and upper quartile give any quantile.
+    middle, upper = F.cbrt(F.col("q")[0]), F.cbrt(F.col("q")[1])
+    far = F.pow(middle + (upper - middle) * (NormalDist().inv_cdf(OUTLIER_SHARE) / NormalDist().inv_cdf(0.75)), 3)
+    model = materialize(model.join(quartiles.select("g", F.greatest(far, F.lit(chi2_quantile(OUTLIER_SHARE, P))).alias("cutoff")), "g"), "quality-cutoffs")
+    return tag.join(model, "g", "left").withColumn("d2", F.when(F.col("m").isNotNull(), _distance())).drop("m", "w", "g", "ridge", "det", "done")
 
 
 def quality_verdicts(
-    docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", group_cols: tuple[str, ...] = ("lang", "source"), cutoff: float | None = None, support: float = 0.75, steps: int = 4, min_group: int = 500
+    docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", group_cols: tuple[str, ...] = ("lang", "source"), cutoff: float | None = None, support: float = 0.75, steps: int = STEPS, min_group: int = 500
 ) -> DataFrame:
     """One row per row of docs: id, counts, base_failed, d2 (null where no group could be fitted) and kept."""
-    cutoff = chi2_quantile(OUTLIER_SHARE, P) if cutoff is None else cutoff
     stats = materialize(statistics_table(docs, id_col=id_col, text_col=text_col, group_cols=group_cols), "quality-stats")
     scored = robust_outliers(stats, groups=len(group_cols), support=support, steps=steps, min_group=min_group)
-    return scored.withColumn("kept", ~F.col("base_failed") & (F.coalesce(F.col("d2"), F.lit(0.0)) <= cutoff))
+    limit = F.col("cutoff") if cutoff is None else F.lit(cutoff)
+    return scored.withColumn("kept", ~F.col("base_failed") & F.coalesce(F.col("d2") <= limit, F.lit(True))).drop("cutoff")

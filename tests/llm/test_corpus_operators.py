@@ -312,6 +312,22 @@ def test_quality(spark, docs):
         assert g["base_failed"] == (len(words) < 50 or 100 * len(marked) > 50 * len(words)) and not (g["base_failed"] and g["kept"])
 
 
+def test_quality_by_the_scatter_of_the_group(spark):
+    rng = random.Random(3)
+    vocabulary = ["".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randrange(3, 8))) for _ in range(2000)]
+    rows = []
+    for i in range(640):
+        lines = [" ".join(rng.choice(vocabulary) for _ in range(12)).capitalize() + "." for _ in range(rng.randrange(18, 24))]
+        if i < 20:  # repeated lines, under what the base rules reject
+            lines = lines[:17] + lines[:2]
+        rows.append((i, "\n".join(lines), "en", "s"))
+    verdicts = quality_rules.quality_verdicts(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string"), min_group=50)
+    got = {r["doc_id"]: r for r in verdicts.collect()}
+    assert not any(got[i]["base_failed"] for i in range(640))
+    assert not any(got[i]["kept"] for i in range(20))
+    assert sum(got[i]["kept"] for i in range(20, 640)) > 0.97 * 620
+
+
 def test_pipeline_stages(spark, docs, tmp_path):
     import corpus_pipeline
 
