@@ -9,7 +9,8 @@ the differing digests are recovered, and with the two sides' numbers of distinct
 Where peeling leaves a block unclear, the pair is tried again with RETRY times the blocks and another salt, until none is.
 
 Blocks for a pair are chosen by its sizes, so most pairs need no retry and a block's work is bounded; the printed
-fingerprint is the sketch folded to one block (XOR of blocks), of one size for all texts.
+fingerprint is the first attempt's sketch folded to one block (XOR of blocks), of one size for all texts. It depends on
+the text's paragraphs alone, not on how many blocks or attempts its pair took.
 
 Sketches are built by one explode of digests and one aggregation within the partitioning that pairing each text with
 the next has made: the texts are shuffled once and the sketches never.
@@ -210,6 +211,7 @@ def fingerprint_versions(docs: DataFrame, *, id_col: str = "doc_id", text_col: s
     got = materialize(_compare(with_next(docs, id_col=id_col, text_col=text_col), 0), "sketches-0")
     texts = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).withColumn("tie", F.xxhash64("text"))
     done = []
+    first = got.select("bucket", "n", "fold0", "fold1")
     for attempt in range(1, MOST_TRIES + 1):
         unclear = F.col("d1").isNull() | F.col("d2").isNull()
         done.append(got.where(~unclear))
@@ -220,7 +222,8 @@ def fingerprint_versions(docs: DataFrame, *, id_col: str = "doc_id", text_col: s
         if attempt == MOST_TRIES:
             raise RuntimeError("sketches that no size makes clear")
         left = _texts_of(left, texts, small=n_left <= MOST_BROADCAST)
-        got = materialize(_compare(left, attempt), f"sketches-{attempt}")
+        again = _compare(left, attempt).drop("fold0", "fold1")
+        got = materialize(again.join(first, ["bucket", "n"]), f"sketches-{attempt}")
     every = reduce(DataFrame.unionByName, done)
 
     def likeness(other: str, d: str) -> Column:

@@ -51,6 +51,15 @@ def test_fingerprints(spark, docs):
     assert fingerprints.fingerprint_versions(docs.where("false")).count() == 0
 
 
+def test_fingerprints_of_equal_texts_whatever_the_attempt(spark, monkeypatch):
+    monkeypatch.setattr(fingerprints, "FILL", 1000)  # one block at first: the pair with another text is tried again
+    one, other = ("\n".join(f"{name} paragraph {i}" for i in range(40)) for name in ("one", "other"))
+    frame = spark.createDataFrame([(1, one), (2, one), (3, other)], "doc_id long, text string")
+    got = {r["doc_id"]: r for r in fingerprints.fingerprint_versions(frame).collect()}
+    assert got[1]["fingerprint"] == got[2]["fingerprint"] != got[3]["fingerprint"]
+    assert got[1]["near_next"] == 1 and got[2]["near_next"] == got[3]["near_next"] == 0
+
+
 def test_secret_scan_unwraps(spark, docs):
     plain = "password=hunter2hunter2"
     for wrap in (lambda s: urllib.parse.quote(s, safe=""), lambda s: "".join(f"\\u{ord(c):04x}" for c in s), lambda s: base64.b64encode(gzip.compress(s.encode())).decode()):
