@@ -31,8 +31,8 @@ def op3_merge_dropout(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = TOKENIZER_PATH("piece_bpe_32k.model")
     encoded = merge_dropout.encode_with_dropout(read_table(spark, sf_dir, "documents"), path=model)
     encoded = encoded.withColumns({"n_ids": F.size("ids").cast("long"), "ids_crc32": F.crc32(F.concat_ws(",", F.col("ids").cast("array<string>")).cast("binary"))})
-    decoded = merge_dropout.decode(encoded, path=model, keep=("n_ids", "n_plain", "ids_crc32"))
-    return decoded.select("doc_id", "n_ids", "n_plain", "ids_crc32", F.sha2("text", 256).alias("decoded_sha256"))
+    decoded = merge_dropout.decode(encoded, path=model, keep=("n_ids", "ids_crc32"))
+    return decoded.select("doc_id", "n_ids", "ids_crc32", F.sha2("text", 256).alias("decoded_sha256"))
 
 
 def op4_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
