@@ -5,8 +5,16 @@ payloads found in a layer become new layers on a worklist, each with a map from
 of the original text; the worklist ends at a fixpoint, and a layer whose content and place were seen before is not
 taken again (cycle detection).
 
+Compressed payloads (gzip, zlib, bzip2, xz, zstandard; all members) are looked for in the bytes of escapes and of
+base64 runs, at any offset, and unpacked as a stream: WINDOW bytes at a time are a layer, cut where no pattern can
+reach over, so a payload is scanned to its end in bounded memory. Only in a stretch of over WINDOW bytes without such
+a place is a cut made within it. What a damaged payload gives before its damage is scanned.
+
+A base64 run may begin and end with characters of something else (a path, an identifier): it is decoded at all four
+alignments, and text of TEXT_BYTES printable bytes and more in the result is a layer.
+
 Defined cases: a null text counts as empty (no span); repeated rows give repeated results; an empty table gives an
-empty table; columns other than the id and the text pass through unread.
+empty table; scan_secrets reads no other columns than the id and the text, mask_secrets passes them on as they are.
 """
 
 from __future__ import annotations
@@ -18,8 +26,8 @@ import hashlib
 import lzma
 import re
 import zlib
-from collections import deque
 from collections.abc import Iterator
+from itertools import chain
 from typing import NamedTuple
 
 import pyarrow as pa
@@ -38,6 +46,8 @@ HEX = re.compile(r"[0-9a-f]{16,}")
 HINTS = ("passw", "secret", "token", "apikey", "api_key")
 
 URL_RUN = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
+URL_ONE = re.compile(r"%([0-9A-Fa-f]{2})")
+BYTES_ONE = re.compile(r"""\\x([0-9A-Fa-f]{2})|\\([ntr\\'"])""")  # as in a literal of bytes
 UNICODE_RUN = re.compile(
     r"(?:\\u\{[0-9A-Fa-f]{1,6}\}|\\u[0-9A-Fa-f]{4}|\\U[0-9A-Fa-f]{8}|\\x[0-9A-Fa-f]{2}|&#[xX][0-9A-Fa-f]{1,6};|&#[0-9]{1,7};)+"
 )
@@ -47,16 +57,38 @@ UNICODE_ONE = re.compile(
 BASE64_RUN = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
 BASE64_WRAPPED = re.compile(r"(?:[A-Za-z0-9+/]{60,}\r?\n)+[A-Za-z0-9+/]{2,}={0,2}")
 MIXED = re.compile(r"[A-Z0-9+/_-]")
-#: A decompressed layer may grow to so many bytes; what a payload holds beyond them is not unpacked (against bombs).
-MAX_UNPACKED = 64 << 20
+#: Bytes of an unpacked payload that are one layer, and that are unpacked at once.
+WINDOW, AT_ONCE = 4 << 20, 1 << 18
+#: Bytes that no pattern holds: a layer may be cut behind them.
+CUTS = b"\t,()!?<>|*[]~^`$@"
+PLAIN_BYTES = bytes([9, 10, 13, *range(32, 127)])
+#: Printable bytes in a row that are text, wherever they stand in what a base64 run holds.
+TEXT_BYTES = 12
+PRINTABLE = re.compile(rb"[\t\n\r\x20-\x7e]{%d,}" % TEXT_BYTES)
+MAGIC = re.compile(rb"\x1f\x8b\x08|\x78[\x01\x5e\x9c\xda]|BZh[1-9]1AY&SY|\xfd7zXZ\x00|\x28\xb5\x2f\xfd")
+#: Plain characters between the escapes of a payload at most (compressed bytes hardly have so many that print in a row),
+#: and before them.
+GAP, FIRST_PLAIN = 48, 12
+#: One of these is in any text that has a payload's first bytes in escapes.
+ESCAPED_MAGIC = re.compile(r"(?i)(?:%|\\x|\\u00|\\u\{)(?:8b|01|5e|9c|da|b5|fd)|BZh|&#")
+
+
+class Same:
+    """The same number for each of n characters."""
+
+    def __init__(self, value: int, n: int):
+        self.value, self.n = value, n
+
+    def __getitem__(self, i):
+        return [self.value] * len(range(*i.indices(self.n))) if isinstance(i, slice) else self.value
 
 
 class Layer(NamedTuple):
     """text: what to scan; start, end: for each of its characters, the span of original code points it stems from."""
 
     text: str
-    start: list[int] | range
-    end: list[int] | range
+    start: list[int] | range | Same
+    end: list[int] | range | Same
 
 
 def scan_layer(text: str) -> list[tuple[int, int, int]]:
@@ -72,7 +104,9 @@ def scan_layer(text: str) -> list[tuple[int, int, int]]:
 
 
 def _printable(text: str) -> bool:
-    return bool(text) and sum(c.isprintable() or c in "\t\r\n" for c in text) >= 0.97 * len(text)
+    if text.isascii():
+        return bool(text) and len(text.encode().translate(None, PLAIN_BYTES)) <= 0.03 * len(text)
+    return text.isprintable() or sum(c.isprintable() or c in "\t\r\n" for c in text) >= 0.97 * len(text)
 
 
 def _as_text(raw: bytes) -> str | None:
@@ -87,47 +121,133 @@ def _as_text(raw: bytes) -> str | None:
     return None
 
 
-def _unpack(raw: bytes) -> bytes | None:
-    """One compressed layer off, or None where raw isn't compressed."""
+class Feed:
+    """Parts of bytes as a file; taken counts what has been read."""
+
+    def __init__(self, parts: Iterator[bytes]):
+        self.parts, self.held, self.taken = parts, b"", 0
+
+    def read(self, n: int) -> bytes:
+        if not self.held:
+            self.held = next(self.parts, b"")
+        out, self.held = bytes(self.held[:n]), self.held[n:]
+        self.taken += len(out)
+        return out
+
+    def begins(self) -> bytes:
+        """The next bytes, unread: enough to know a payload by."""
+        while len(self.held) < 16 and (more := next(self.parts, b"")):
+            self.held = bytes(self.held) + more
+        return bytes(self.held[:16])
+
+    def put_back(self, data: bytes) -> None:
+        self.held = data + bytes(self.held)
+        self.taken -= len(data)
+
+
+def _unpacked(feed: Feed) -> Iterator[bytes]:
+    """What a compressed payload holds, member by member, in parts of AT_ONCE bytes; up to its damage, if it has any."""
+    import zstandard
+
     try:
-        if raw[:2] == b"\x1f\x8b":
-            return zlib.decompressobj(31).decompress(raw, MAX_UNPACKED)
-        if len(raw) > 2 and raw[0] & 15 == 8 and int.from_bytes(raw[:2], "big") % 31 == 0:
-            return zlib.decompressobj().decompress(raw, MAX_UNPACKED)
-        if raw[:3] == b"BZh":
-            return bz2.BZ2Decompressor().decompress(raw, MAX_UNPACKED)
-        if raw[:6] == b"\xfd7zXZ\0":
-            return lzma.LZMADecompressor().decompress(raw, MAX_UNPACKED)
-        if raw[:4] == b"\x28\xb5\x2f\xfd":
-            import zstandard
-
-            return zstandard.ZstdDecompressor().decompressobj().decompress(raw)[:MAX_UNPACKED]
-    except (zlib.error, OSError, lzma.LZMAError, EOFError, ValueError):
-        return None
-    except Exception as e:  # zstandard's own error class
-        if type(e).__module__.startswith("zstandard"):
-            return None
-        raise
-    return None
+        while MAGIC.match(head := feed.begins()):
+            if head[:1] == b"\x28":
+                one = zstandard.ZstdDecompressor().decompressobj()
+            elif head[:1] in b"\x1f\x78":
+                one = zlib.decompressobj(47)
+            else:
+                one = bz2.BZ2Decompressor() if head[:1] == b"B" else lzma.LZMADecompressor()
+            data = b""
+            while not one.eof:
+                if not data and getattr(one, "needs_input", True) and not (data := feed.read(256 if head[:1] == b"\x28" else AT_ONCE)):
+                    return  # cut off
+                part = one.decompress(data) if head[:1] == b"\x28" else one.decompress(data, AT_ONCE)
+                data = getattr(one, "unconsumed_tail", b"")  # bz2 and lzma keep their own
+                if part:
+                    yield part
+            feed.put_back(one.unused_data)
+    except (zlib.error, OSError, lzma.LZMAError, EOFError, ValueError, zstandard.ZstdError):
+        return
+
 
+def _windows(parts: Iterator[bytes]) -> Iterator[bytes]:
+    """Parts joined to windows of about WINDOW bytes, cut where no pattern reaches over."""
+    held = bytearray()
+    for part in parts:
+        held += part
+        while len(held) >= WINDOW:
+            at = 1 + max(held.rfind(c, 0, WINDOW) for c in CUTS) or WINDOW
+            yield bytes(held[:at])
+            del held[:at]
+    if held:
+        yield bytes(held)
 
-def _bytes_layer(raw: bytes, spans: list[tuple[int, int]]) -> Layer | None:
-    """A layer from bytes, of which each stems from a span; compressed payloads are unwrapped until none is left."""
+
+def _opened(parts: Iterator[bytes]) -> Iterator[bytes]:
+    """The same, or, while it is longer than a window and a payload itself, what that holds."""
     seen = set()
-    while (inner := _unpack(raw)) is not None and (mark := hashlib.sha256(raw).digest()) not in seen:
+    while True:
+        held = bytearray()
+        for part in parts:
+            held += part
+            if len(held) >= WINDOW:
+                break
+        parts = chain([bytes(held)], parts)
+        mark = hashlib.blake2b(held, digest_size=16).digest()
+        if len(held) < WINDOW or not MAGIC.match(held) or mark in seen:
+            return parts
         seen.add(mark)
-        raw, spans = inner, [(spans[0][0], spans[-1][1])] if spans else spans
+        parts = _unpacked(Feed(parts))
+
+
+def _payloads(raw: bytes, span_of) -> Iterator[Layer | tuple[bytes, tuple[int, int]]]:
+    """Layers of the compressed payloads in raw, whose bytes from a to b stem from the span span_of(a, b), and with
+    their spans the windows that are no text."""
+    at, view = 0, memoryview(raw)
+    while m := MAGIC.search(raw, at):
+        at = m.start() + 1
+        feed = Feed(iter([view[m.start() :]]))
+        if not any([len(x) for x in _unpacked(feed)]):
+            continue
+        end = m.start() + feed.taken
+        span = span_of(m.start(), end)
+        at = end
+        for window in _windows(_opened(_unpacked(Feed(iter([view[m.start() : end]]))))):
+            if (text := _as_text(window)) is None:
+                yield window, span
+            for inner in [text] if text is not None else [x[0].decode("ascii") for x in PRINTABLE.finditer(window)]:
+                yield Layer(inner, Same(span[0], len(inner)), Same(span[1], len(inner)))
+
+
+def _payload_layers(raw: bytes, span_of) -> Iterator[Layer]:
+    """Layers of the compressed payloads in raw and of those that they hold."""
+    work, seen = [_payloads(raw, span_of)], set()
+    while work:
+        new = next(work[-1], None)
+        if new is None:
+            work.pop()
+        elif isinstance(new, Layer):
+            yield new
+        else:
+            window, span = new
+            mark = hashlib.blake2b(window, digest_size=16).digest()
+            if mark not in seen:
+                seen.add(mark)
+                work.append(_payloads(window, lambda a, b, span=span: span))
+
+
+def _text_layer(raw: bytes, begin: int, span_of) -> Layer | None:
+    """raw as a layer, if it is text; its first byte is number `begin` of those that span_of knows."""
     text = _as_text(raw)
-    if text is None or not spans:
+    if text is None:
         return None
-    if len(spans) == 1:
-        return Layer(text, [spans[0][0]] * len(text), [spans[0][1]] * len(text))
-    start, end, at = [], [], 0
-    width = 1 if len(text) == len(raw) else None
+    start, end, at = [], [], begin
+    code = "utf-8" if text.encode("utf-8") == raw else "utf-16-le"
     for c in text:
-        n = width or len(c.encode("utf-8"))
-        start.append(spans[min(at, len(spans) - 1)][0])
-        end.append(spans[min(at + n, len(spans)) - 1][1])
+        n = len(c.encode(code))
+        a, b = span_of(at, at + n)
+        start.append(a)
+        end.append(b)
         at += n
     return Layer(text, start, end)
 
@@ -196,9 +316,11 @@ def _base64_runs(text: str) -> list[re.Match]:
 
 def _base64_layers(layer: Layer) -> Iterator[Layer]:
     for m in _base64_runs(layer.text):
-        at = [i for i in range(*m.span()) if layer.text[i] not in "=\r\n"]
-        body = "".join(layer.text[i] for i in at).translate({45: 43, 95: 47})
-        for skip in range(4):  # a run may have a few characters of something else before it
+        run = m[0].rstrip("=")
+        lines = [i for i, c in enumerate(run) if c in "\r\n"] if "\n" in run else []
+        body = run.translate({45: 43, 95: 47, 10: None, 13: None})
+        place = [i for i in range(len(run)) if run[i] not in "\r\n"] if lines else range(len(run))
+        for skip in range(4):
             part = body[skip:]
             if len(part) < 16:
                 break
@@ -208,29 +330,86 @@ def _base64_layers(layer: Layer) -> Iterator[Layer]:
                 raw = base64.b64decode(part + "=" * (-len(part) % 4))
             except (binascii.Error, ValueError):
                 continue
-            where = at[skip:]
-            spans = [(layer.start[where[(i // 3) * 4 + i % 3]], layer.end[where[(i // 3) * 4 + i % 3 + 1]]) for i in range(len(raw))]
-            if new := _bytes_layer(raw, spans):
+
+            def span_of(a: int, b: int, skip=skip, first=m.start(), place=place) -> tuple[int, int]:
+                b -= 1
+                return layer.start[first + place[skip + a // 3 * 4 + a % 3]], layer.end[first + place[skip + b // 3 * 4 + b % 3 + 1]]
+
+            if new := _text_layer(raw, 0, span_of):
                 yield new
-                break
+                break  # the run is text as a whole: its other alignments are not
+            for x in PRINTABLE.finditer(raw):
+                if new := _text_layer(x[0], x.start(), span_of):
+                    yield new
+            yield from _payload_layers(raw, span_of)
+
+
+def _byte_of(m: re.Match) -> int:
+    """The number that an escape stands for."""
+    if m.re is URL_ONE:
+        return int(m[1], 16)
+    if m.re is BYTES_ONE:
+        return int(m[1], 16) if m[1] else ord({"n": "\n", "r": "\r", "t": "\t"}.get(m[2], m[2]))
+    return int(m[6]) if m[6] else int(next(g for g in m.groups()[:5] if g), 16)
+
+
+def _escaped_payloads(layer: Layer) -> Iterator[Layer]:
+    """Layers of compressed payloads whose bytes stand in a layer as escapes with a few plain characters between them."""
+    for one in (URL_ONE, UNICODE_ONE, BYTES_ONE):
+        groups: list[list[re.Match]] = []
+        for m in one.finditer(layer.text):
+            if _byte_of(m) > 255:
+                continue
+            if groups and m.start() - groups[-1][-1].end() <= GAP:
+                groups[-1].append(m)
+            else:
+                groups.append([m])
+        for group in groups:
+            raw, place = bytearray(), []
+            # Plain characters may begin and end a payload.
+            at = max(0, group[0].start() - FIRST_PLAIN)
+            for begin, end, code in [*((*m.span(), _byte_of(m)) for m in group), (min(len(layer.text), group[-1].end() + GAP), 0, None)]:
+                for i in range(at, begin):
+                    c = layer.text[i].encode("utf-8", "replace")
+                    raw += c
+                    place += [(i, i + 1)] * len(c)
+                if code is not None:
+                    raw.append(code)
+                    place.append((begin, end))
+                    at = end
+            yield from _payload_layers(bytes(raw), lambda a, b, place=place: (layer.start[place[a][0]], layer.end[place[b - 1][1] - 1]))
+
+
+def _below(layer: Layer) -> Iterator[Layer | None]:
+    """The layers right below a layer."""
+    if "%" in layer.text:
+        yield _escaped(layer, URL_RUN, _url)
+    if "\\" in layer.text or "&#" in layer.text:
+        yield _escaped(layer, UNICODE_RUN, _unicode)
+    if ("%" in layer.text or "\\" in layer.text or "&#" in layer.text) and ESCAPED_MAGIC.search(layer.text):
+        yield from _escaped_payloads(layer)
+    yield from _base64_layers(layer)
 
 
 def decoded_layers(text: str) -> Iterator[Layer]:
-    """Every layer below a text, each once, until decoding gives nothing new."""
+    """Every layer below a text, each once, until decoding gives nothing new. The worklist holds layers that are not
+    yet decoded to their end, the deepest last."""
     if not ("%" in text or "\\" in text or "&#" in text or _base64_runs(text)):
         return
-    work = deque([Layer(text, range(len(text)), range(1, len(text) + 1))])
+    work = [_below(Layer(text, range(len(text)), range(1, len(text) + 1)))]
     seen: set[tuple] = set()
     while work:
-        layer = work.popleft()
-        for new in (_escaped(layer, URL_RUN, _url) if "%" in layer.text else None, _escaped(layer, UNICODE_RUN, _unicode) if "\\" in layer.text or "&#" in layer.text else None, *_base64_layers(layer)):
-            if new is None or not new.text:
-                continue
-            mark = (hashlib.blake2b(new.text.encode("utf-8", "replace"), digest_size=16).digest(), new.start[0], new.end[-1])
-            if mark not in seen:
-                seen.add(mark)
-                work.append(new)
-                yield new
+        new = next(work[-1], work)
+        if new is work:
+            work.pop()
+            continue
+        if new is None or not new.text:
+            continue
+        mark = (hashlib.blake2b(new.text.encode("utf-8", "replace"), digest_size=16).digest(), new.start[0], new.end[len(new.text) - 1])
+        if mark not in seen:
+            seen.add(mark)
+            yield new
+            work.append(_below(new))
 
 
 def find_secrets(text: str | None) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]], int]:
