@@ -1,7 +1,8 @@
 """Document fingerprints: invertible Bloom lookup sketches, in DataFrame expressions alone.
 
-A text's paragraphs (newline-separated blocks, long ones parted at those sentence ends whose last letter is among a
-fixed few, so that a change moves no other parting) are hashed to 40-bit digests; a digest with its 24-bit check value
+A text's paragraphs (newline-separated blocks, parted at those sentence ends whose last letter is among a fixed few;
+what is still over LONG code points is parted at every sentence end, and what is over it then, behind words that end in
+one of the same letters; all partings hang on the text beside them alone, so a change moves no other) are hashed to 40-bit digests; a digest with its 24-bit check value
 is one 64-bit cell entry. A sketch of `blocks` blocks has ROWS x WIDTH cells a block; an entry is XORed into one cell of each row of
 its block. Subtracting two sketches (XOR, cell by cell) leaves the entries that only one side has; a cell that holds a
 single one is known by its check value, and peeling it out of its other cells uncovers more, until no cell is left:
@@ -37,6 +38,9 @@ ROUNDS = 7
 RETRY = 4
 CHECK_BITS = 24
 PARTING = r"\n+|(?<=[c-hC-H][.!?])\x20"
+LONG = 256
+LONG_PARTING = r"(?<=[.!?])\x20|(?<=[。！？؟।])"
+LONGER_PARTING = r"(?<=[c-h])\x20|(?<=[、，；：])"
 #: A pair that is still unclear after so many sizes is an error (the chance is nil).
 MOST_TRIES = 12
 #: Rows to try again that are broadcast at most (about 60 bytes each, twice); beyond them the texts are joined by a shuffle.
@@ -45,7 +49,10 @@ MOST_BROADCAST = 200_000
 
 def digests(text: Column) -> Column:
     """The distinct paragraphs' entries: digest in the upper 40 bits, check value in the lower 24."""
-    parts = F.filter(F.split(text, PARTING), lambda p: F.length(F.trim(p)) > 0)
+    def parted(parts: Column, pattern: str) -> Column:
+        return F.flatten(F.transform(parts, lambda p: F.when(F.char_length(p) > LONG, F.split(p, pattern)).otherwise(F.array(p))))
+
+    parts = F.filter(parted(parted(F.split(text, PARTING), LONG_PARTING), LONGER_PARTING), lambda p: F.length(F.trim(p)) > 0)
     return F.array_distinct(F.transform(parts, lambda p: _entry(F.shiftright(F.xxhash64(p), CHECK_BITS))))
 
 
