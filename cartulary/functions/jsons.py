@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from itertools import product
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -22,6 +24,7 @@ def parse_pairs(response: Column) -> Column:
 
 
 def pointer_value(document: Column, pointer: str) -> Column:
-    """The value at a JSON pointer, as text."""
-    path = "$" + "".join(f"[{p}]" if p.isdigit() else f"['{p}']" for p in pointer.strip("/").replace("~1", "/").replace("~0", "~").split("/") if p)
-    return F.get_json_object(document, path)
+    """The value at a JSON pointer, as text. A part of digits is an array's index or, where there is no array, a key."""
+    parts = [p.replace("~1", "/").replace("~0", "~") for p in pointer.split("/")[1:]]
+    steps = [(f"[{p}]", f"['{p}']") if p.isdigit() else (f"['{p}']",) for p in parts]
+    return F.coalesce(*[F.get_json_object(document, "$" + "".join(path)) for path in product(*steps)])

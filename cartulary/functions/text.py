@@ -28,8 +28,12 @@ def let(value: Column, use) -> Column:
     return F.element_at(F.transform(F.array(value), use), 1)
 
 
+#: Characters of the Unicode property White_Space (fixed values).
+WHITE = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+
+
 def strip(x: Column) -> Column:
-    return F.regexp_replace(F.regexp_replace(x, r"(?U)^\s+", ""), r"(?U)\s+$", "")
+    return F.btrim(x, F.lit(WHITE))
 
 
 def collapse(x: Column) -> Column:
@@ -48,8 +52,8 @@ def first_filled(*columns: Column) -> Column:
 
 
 def norm_key(x: Column) -> Column:
-    """Lower case, marks as spaces, collapsed."""
-    return collapse(F.regexp_replace(F.lower(x), r"(?U)[^\w\s]", " "))
+    """Lower case, runs of marks and white space as one space, none at the ends."""
+    return F.trim(F.regexp_replace(F.lower(x), r"(?U)\W+", " "))
 
 
 def norm_quote(x: Column, *, compose: bool = True) -> Column:

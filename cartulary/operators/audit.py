@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cartulary.functions.text import let
+from cartulary.tables import materialize
 
 
 class LeakageError(ValueError):
@@ -53,15 +54,26 @@ def contamination(docs: DataFrame, benchmark: DataFrame, *, n: int = 8, doc_id:
     return grams.join(items, "gram").groupBy(doc_id, item_id).agg(F.count("*").alias("n_shared"))
 
 
+def category_counts(rows: DataFrame, key: str = "category") -> DataFrame:
+    """(key, n)."""
+    return rows.groupBy(key).agg(F.count("*").alias("n"))
+
+
+def family_versions(rows: DataFrame, *, family: str = "document_family_id", version: str = "document_version") -> DataFrame:
+    """(family, versions) of families with more than one version, which must stay in one split together."""
+    found = rows.where(F.col(family).isNotNull()).groupBy(family).agg(F.array_sort(F.collect_set(F.nullif(F.col(version), F.lit("")))).alias("versions"), F.countDistinct(F.coalesce(F.col(version), F.lit(""))).alias("_n"))
+    return found.where("_n > 1").drop("_n")
+
+
 def set_hash(rows: DataFrame, key: str) -> DataFrame:
     """SHA-256 over the sorted ids, newline-joined: a manifest's number, for sets that a manifest lists."""
     return rows.agg(F.sha2(F.array_join(F.array_sort(F.collect_list(F.col(key).cast("string"))), "\n"), 256).alias("id_sha256"), F.count(key).alias("n"))
 
 
 def slice_rows(rows: DataFrame, *, order: list, start: int, end: int) -> DataFrame:
-    """Rows start to end (exclusive) of an order, without a window over the whole table: rows of each partition
-    of the sorted table are counted first (a number for each partition goes to the driver)."""
-    ordered = rows.orderBy(*order).withColumn("_p", F.spark_partition_id())
+    """Rows start to end (exclusive) of an order, without a window over the whole table: the sorted table is written
+    with its partitions' numbers, whose rows are counted then (a number for each partition goes to the driver)."""
+    ordered = materialize(rows.orderBy(*order).withColumn("_p", F.spark_partition_id()), "sorted")
     counted = ordered.withColumn("_n", F.row_number().over(Window.partitionBy("_p").orderBy(*order)))
     before, total = {}, 0
     for r in counted.groupBy("_p").agg(F.count("*").alias("n")).orderBy("_p").collect():
@@ -74,6 +86,21 @@ def slice_rows(rows: DataFrame, *, order: list, start: int, end: int) -> DataFra
     return counted.where((at >= start) & (at < end)).drop("_p", "_n")
 
 
+def assert_single_scoring(accesses: DataFrame, *, flag: str = "scoring") -> int:
+    """How often the held-out set was scored, which may be once."""
+    n = accesses.where(F.coalesce(F.col(flag), F.lit(False))).count()
+    if n > 1:
+        raise LeakageError(f"the held-out set was scored {n} times")
+    return n
+
+
+def artifact_set_hash(outputs: DataFrame) -> DataFrame:
+    """One row: artifact_set_sha256 over the outputs' (path, sha256), sorted by their canonical JSON texts: a run's
+    own list of files."""
+    item = F.concat(F.lit('{"path":'), F.to_json(F.array("path")).substr(F.lit(2), F.length(F.to_json(F.array("path"))) - 2), F.lit(',"sha256":"'), F.col("sha256"), F.lit('"}'))
+    return outputs.agg(F.sha2(F.concat(F.lit("["), F.array_join(F.array_sort(F.collect_list(item)), ","), F.lit("]")), 256).alias("artifact_set_sha256"), F.count("*").alias("n"))
+
+
 def reuse_counts(rounds: DataFrame) -> DataFrame:
     """(id, n_rounds) from (id, round): distinct rounds that an id was used in."""
     return rounds.groupBy("id").agg(F.countDistinct("round").alias("n_rounds"))

@@ -29,6 +29,28 @@ def find_quotes(elements: DataFrame, quotes: DataFrame, *, compose: bool = True)
     return quotes.select("quote_id", "doc_id").join(first, ["quote_id", "doc_id"], "left")
 
 
+def find_quotes_anywhere(elements: DataFrame, quotes: DataFrame, *, n: int = 5, compose: bool = True) -> DataFrame:
+    """J8 without a known document: (quote_id, doc_id, element_id) of the first element of each document that contains
+    a quote. Candidates share the rarest of a quote's word n-grams (by the quotes' own counts), whole words only, with
+    an element; quotes of fewer than n + 2 words are looked for in every element, in blocks. elements' texts are in N2."""
+    q = quotes.select("quote_id", norm_quote(F.col("quote"), compose=compose).alias("q")).where("q <> ''")
+    words = q.select("*", F.split("q", " ").alias("w"))
+    # A quote may begin and end within a word: its first and last words tell nothing of the element's words.
+    inner = F.when(F.size("w") >= n + 2, F.transform(F.sequence(F.lit(2), F.size("w") - n), lambda i: F.array_join(F.slice("w", i, n), " ")))
+    grams = words.select("quote_id", F.explode(F.array_distinct(inner)).alias("gram"))
+    held = grams.groupBy("gram").agg(F.count("*").alias("held"))
+    key = grams.join(held, "gram").groupBy("quote_id").agg(F.min(F.struct("held", "gram"))["gram"].alias("gram"))
+    egrams = let(F.split("text", " "), lambda w: F.when(F.size(w) >= n, F.transform(F.sequence(F.lit(1), F.greatest(F.size(w) - n + 1, F.lit(1))), lambda i: F.array_join(F.slice(w, i, n), " "))))
+    rows = elements.select("doc_id", "element_id", "index", "text")
+    pairs = rows.select("doc_id", "element_id", "index", F.explode(F.array_distinct(egrams)).alias("gram")).join(key, "gram").select("quote_id", "doc_id", "element_id", "index").distinct()
+    met = pairs.join(rows, ["doc_id", "element_id", "index"]).join(q, "quote_id").where(F.contains("text", "q"))
+    short = words.where(F.size("w") < n + 2).select("quote_id", "q")
+    found = met.select("quote_id", "doc_id", "element_id", "index")
+    if not short.isEmpty():
+        found = found.unionByName(rows.join(short, F.contains(F.col("text"), F.col("q"))).select("quote_id", "doc_id", "element_id", "index"))
+    return found.groupBy("quote_id", "doc_id").agg(F.min_by("element_id", "index").alias("element_id"))
+
+
 def verify(records: DataFrame, elements: DataFrame, *, compose: bool = True) -> DataFrame:
     """(qa_id, ok, has_evidence, element_exists, page_match, quote_present, quote_hash, numeric_grounded).
 
@@ -79,7 +101,7 @@ def rewards(records: DataFrame, *, markers: tuple[str, ...], latest_version: str
     e = F.coalesce("evidence", F.array().cast(EVIDENCE))
     answer, answerable = F.coalesce("answer", F.lit("")), F.coalesce("answerable", F.lit(True))
     abstain_kind = F.coalesce(F.col("category").isin(*ABSTAIN), F.lit(False))
-    good = lambda x: (norm_quote(x["quote"], compose=False) != "") & F.coalesce(x["quote_sha256"] == quote_sha256(x["quote"], compose=False), F.lit(False)) & F.coalesce(x["page"] >= 1, F.lit(False)) & (F.coalesce(x["element_id"], F.lit("")) != "")
+    good = lambda x: (norm_quote(x["quote"], compose=compose) != "") & F.coalesce(x["quote_sha256"] == quote_sha256(x["quote"], compose=compose), F.lit(False)) & F.coalesce(x["page"] >= 1, F.lit(False)) & (F.coalesce(x["element_id"], F.lit("")) != "")
     validity = F.when(F.size(e) > 0, F.size(F.filter(e, good)) / F.size(e)).when(abstain_kind | ~answerable, 1.0).otherwise(0.0)
     quoted = F.flatten(F.transform(e, lambda x: groundable(x["quote"])))
     said = groundable(answer)

@@ -125,3 +125,45 @@ def page_elements(pages: DataFrame, *, id_col: str = "page_id", html_col: str =
     kinds = F.create_map(*[F.lit(x) for kv in BLOCKS.items() for x in kv])
     none = [F.lit(None).cast("double").alias(c) for c in ("x0", "y0", "x1", "y1")]
     return rows.select("doc_id", "index", kinds[tag].alias("category"), collapse(text).alias("text"), F.lit(1).alias("page"), F.lit(None).cast("string").alias("image_path"), *none).where("text <> ''")
+
+
+def figure_linkage(pairs: DataFrame, *, order: str, by: tuple[str, ...] = ()) -> DataFrame:
+    """A2, T5: a row for each figure of image pairs (source, figure_index, image_path, page, section, context_used): its
+    first pair's place, whether any of its pairs used context, how many there are. Figures without an index are told
+    apart by their image's path; they come last."""
+    images = pairs.where(F.col("source") == "image")
+    key = F.coalesce(F.col("figure_index").cast("string"), F.concat(F.lit("path "), F.coalesce("image_path", F.lit("?"))))
+    name = F.nullif(F.regexp_extract(F.coalesce("image_path", F.lit("")), r"([^/]*)$", 1), F.lit(""))
+    first = lambda c, name: F.min_by(F.struct(c.alias("v")), F.col(order))["v"].alias(name)
+    got = images.groupBy(*by, key.alias("figure")).agg(
+        first(F.col("figure_index"), "figure_index"), first(F.col("page"), "page"), first(F.col("section"), "section"), first(name, "image_path"), F.bool_or(F.coalesce("context_used", F.lit(False))).alias("context_used"), F.count("*").alias("questions")
+    )
+    return got.orderBy(*by, F.col("figure_index").asc_nulls_last(), "figure")
+
+
+def manifest_counts(pairs: DataFrame, *, order: str, by: tuple[str, ...] = ()) -> DataFrame:
+    """A3: total, text, image, figures and figures_with_context, for each group of pairs."""
+    is_image = F.coalesce(F.col("source") == "image", F.lit(False))
+    counts = pairs.groupBy(*by).agg(F.count("*").alias("total"), F.count_if(~is_image).alias("text"), F.count_if(is_image).alias("image"))
+    figures = figure_linkage(pairs, order=order, by=by).groupBy(*by).agg(F.count("*").alias("figures"), F.count_if("context_used").alias("figures_with_context"))
+    both = counts.join(figures, list(by), "left") if by else counts.crossJoin(F.broadcast(figures))  # one row each
+    return both.withColumns({c: F.coalesce(c, F.lit(0)) for c in ("figures", "figures_with_context")})
+
+
+def assemble_context(section: Column, before: Column, after: Column) -> Column:
+    """what stands around a figure, part by part; parts that are empty go."""
+    part = lambda lead, x: F.when(F.coalesce(x, F.lit("")) != "", F.concat(F.lit(lead), x))
+    return F.concat_ws("\n\n", part("[Section] ", section), part("[Context before the figure]\n", before), part("[Caption / context after the figure]\n", after))
+
+
+def caption_linkage(elements: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
+    """The share of figures that carry a caption, section or context, to 4 places; null without figures."""
+    linked = lambda c: F.coalesce(F.col(c), F.lit("")) != ""
+    figs = elements.where(F.col("modality") == "figure")
+    return figs.groupBy(*by).agg(F.count("*").alias("figures"), F.round(F.avg((linked("caption") | linked("section_path") | linked("context")).cast("double")), 4).alias("linkage_rate"))
+
+
+def modality_counts(elements: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
+    """Text, table, figure and total of elements."""
+    of = lambda m: F.count_if(F.coalesce(F.col("modality"), F.lit("unknown")) == m).alias(m)
+    return elements.groupBy(*by).agg(of("text"), of("table"), of("figure"), F.count("*").alias("total"))

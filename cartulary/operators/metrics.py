@@ -101,19 +101,21 @@ def failure_categories() -> Column:
 def aggregate(examples: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
     """Means and rates over what isn't null, and the confusion of abstention; by category too if asked for."""
     ok = F.col("answerable")
-    rate = lambda c: F.avg(F.when(ok, F.col(c).cast("double")))
-    over_all = lambda c: F.avg(F.col(c).cast("double"))
+    rate = lambda c: F.round(F.avg(F.when(ok, F.col(c).cast("double"))), 4)
+    over_all = lambda c: F.round(F.avg(F.col(c).cast("double")), 4)
     tp, fp, fn = F.count_if(F.col("abstained") & ~ok), F.count_if(F.col("abstained") & ok), F.count_if(~F.col("abstained") & ~ok)
     return examples.groupBy(*by).agg(
         F.count("*").alias("n_examples"),
         F.count_if(ok).alias("n_answerable"),
+        F.count_if(~ok).alias("n_unanswerable"),
         *[rate(c).alias(f"{c}_rate") for c in ("em", "f1", "numeric_exact", "unit_exact", "date_exact", "citation_page_correct", "citation_span_correct", "recall_at_k")],
         *[over_all(c).alias(f"{c}_rate") for c in ("schema_valid", "grounded", "pii_leaked")],
         tp.alias("abstain_tp"),
         fp.alias("abstain_fp"),
         fn.alias("abstain_fn"),
-        F.try_divide(tp, tp + fp).alias("abstain_precision"),
-        F.try_divide(tp, tp + fn).alias("abstain_recall"),
+        F.round(F.try_divide(tp, tp + fp), 4).alias("abstain_precision"),
+        F.round(F.try_divide(tp, tp + fn), 4).alias("abstain_recall"),
+        *([F.round(F.avg(F.when(~ok, (~F.col("retrieved_any")).cast("double"))), 4).alias("no_answer_retrieval_rate")] if "retrieved_any" in examples.columns else []),
     )
 
 
@@ -155,6 +157,20 @@ def generate(rows: DataFrame, predict, *, output: str = "answer") -> DataFrame:
     return rows.mapInPandas(run, schema)
 
 
-def replay(rows: DataFrame, recorded: DataFrame, *, key: str = "prompt_sha256") -> DataFrame:
-    """Rows joined with what was recorded for their key; missing counts the rows without any."""
-    return rows.join(recorded, key, "left")
+def prompt_key(prompt: Column) -> Column:
+    """What a generation is recorded under."""
+    return F.sha2(prompt, 256)
+
+
+def judge_key(source: Column, question: Column, answer: Column) -> Column:
+    """What a verdict is recorded under."""
+    return F.sha1(F.concat(*[F.concat(F.coalesce(x, F.lit("")), F.lit("\0")) for x in (source, question, answer)]))
+
+
+def replay(rows: DataFrame, recorded: DataFrame, *, key: str = "prompt_sha256", strict: bool = True) -> DataFrame:
+    """Rows joined with what was recorded for their key. Nothing recorded is an error, or null if not strict."""
+    if not strict:
+        return rows.join(recorded, key, "left")
+    met = rows.join(recorded.withColumn("_there", F.lit(True)), key, "left")
+    miss = F.raise_error(F.concat(F.lit("nothing is recorded for "), F.substring(key, 1, 12)))
+    return met.where(F.when(F.col("_there"), F.lit(True)).otherwise(miss.cast("boolean"))).drop("_there")

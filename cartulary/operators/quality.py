@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -39,6 +40,8 @@ REFUSALS = (
     "모르겠",
 )
 ABSTENTION = r"확인할\s*수\s*없|모르|답할\s*수\s*없|알\s*수\s*없|해당\s*없|근거\s*없|cannot|not\s+found|unknown"
+#: Slots of the table of word counts, and rows of a word that meet in one group.
+RARITY_SLOTS, BLOCK_ROWS = 1 << 15, 4096
 REASONS = ("empty", "too_short", "q_equals_a", "refusal", "duplicate", "near_duplicate")
 
 
@@ -70,11 +73,13 @@ def reject_reason(question: Column, answer: Column, *, min_question: int = 6, mi
 
 
 def keep_first(rows: DataFrame, key: Column, order: str) -> DataFrame:
-    """Rows with kept, whether a row is the first of its key by order. A key with many rows is first summed by
-    its least order in each task, so no task holds a key's rows."""
-    keyed = rows.withColumn("_key", key)
-    first = keyed.groupBy("_key").agg(F.min(order).alias("_first"))
-    return keyed.join(first, keyed["_key"].eqNullSafe(first["_key"])).drop(first["_key"]).withColumn("kept", F.col(order) == F.col("_first")).drop("_key", "_first")
+    """Rows with kept, whether a row is the first of its key by order (rows without an order last; of equal
+    orders the row of the least hash, of wholly equal rows one). Keys are hashed and numbered once, in a table; a key
+    with many rows is first summed in each task, so no task holds a key's rows."""
+    place = F.struct(F.col(order).isNull().alias("last"), F.col(order).alias("order"), F.xxhash64(*rows.columns).alias("hash"), F.monotonically_increasing_id().alias("n"))
+    keyed = materialize(rows.withColumns({"_key": F.sha2(key.cast("string"), 256), "_place": place}), "keyed")
+    first = keyed.groupBy("_key").agg(F.min("_place").alias("_first")).select(F.col("_first.n").alias("_n"))
+    return keyed.join(first, F.col("_place.n") == F.col("_n"), "left").withColumn("kept", F.col("_n").isNotNull()).drop("_key", "_place", "_n")
 
 
 def similar_pairs(sets: DataFrame, *, threshold: float) -> DataFrame:
@@ -83,14 +88,28 @@ def similar_pairs(sets: DataFrame, *, threshold: float) -> DataFrame:
     Prefix filter: words are ordered by how rare they are; two sets that reach the threshold share a word among the
     first size - ceil(threshold * size) + 1 of each, so only those are joined on. Sizes must fit, too.
     """
-    words = sets.select("id", F.size("words").alias("n"), F.explode("words").alias("w"))
-    df = words.groupBy("w").agg(F.count("*").alias("df"))
-    ranked = words.join(df, "w").groupBy("id", "n").agg(F.array_sort(F.collect_list(F.struct("df", "w"))).alias("ws"))
-    keep = (F.col("n") - F.ceil(F.lit(threshold - 1e-12) * F.col("n")) + 1).cast("int")
-    prefix = ranked.select("id", "n", F.explode(F.slice("ws", F.lit(1), keep)).alias("x")).select("id", "n", F.col("x.w").alias("w"))
-    a, b = prefix.alias("a"), prefix.alias("b")
+    keep = lambda n: (n - F.ceil(F.lit(threshold - 1e-12) * n) + 1).cast("int")
+    sets = materialize(sets, "word-sets")
+    # Rarity by a table of counts of RARITY_SLOTS hashes, which is a literal of the plan: any order that is the same for
+    # all rows finds all pairs, so what the table holds changes the work, not the result.
+    slot = lambda w: F.pmod(F.xxhash64(w), F.lit(RARITY_SLOTS)).cast("int")
+    counted = sets.select(F.explode("words").alias("w")).groupBy(slot(F.col("w")).alias("s")).agg(F.count("*").alias("c")).collect()  # RARITY_SLOTS rows at most
+    octave = [0] * RARITY_SLOTS
+    for r in counted:
+        octave[r["s"]] = int(4 * math.log2(r["c"]))
+    table = F.from_json(F.lit(str(octave)), "array<int>")  # folded to a literal
+    rank = lambda w: F.struct(F.get(table, slot(w)).alias("r"), F.xxhash64(w).alias("h"))
+    first = F.slice(F.array_sort(F.transform("words", rank)), F.lit(1), keep(F.size("words")))
+    prefix = materialize(sets.select("id", F.size("words").alias("n"), F.explode(first).alias("x")).select("id", "n", F.col("x.h").alias("w")), "prefixes")
+    # A word of many rows' prefixes is dealt to pairs of blocks, so that none of them is one task's.
+    held = prefix.groupBy("w").agg(F.count("*").alias("k")).where("k > 1").withColumn("parts", F.ceil(F.col("k") / BLOCK_ROWS).cast("int"))
+    dealt = prefix.join(held, "w").withColumn("own", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    dealt = dealt.select("id", "n", "w", F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q"))
+    a, b = dealt.alias("a"), dealt.alias("b")
+    same = (F.col("a.w") == F.col("b.w")) & (F.col("a.p") == F.col("b.p")) & (F.col("a.q") == F.col("b.q"))
     fits = (F.col("a.id") < F.col("b.id")) & (F.col("a.n") >= F.col("b.n") * (threshold - 1e-12)) & (F.col("b.n") >= F.col("a.n") * (threshold - 1e-12))
-    found = a.join(b, (F.col("a.w") == F.col("b.w")) & fits).select(F.col("a.id").alias("i"), F.col("b.id").alias("j")).distinct()
+    found = a.join(b, same & fits).select(F.col("a.id").alias("i"), F.col("b.id").alias("j")).distinct()
     left = sets.select(F.col("id").alias("i"), F.col("words").alias("wi"))
     right = sets.select(F.col("id").alias("j"), F.col("words").alias("wj"))
     both = F.size(F.array_intersect("wi", "wj"))

@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from cartulary.tables import materialize
+
 EPSILON = 1e-9
 NOTHING_FEASIBLE = "no_feasible_candidate"
 
@@ -61,7 +63,7 @@ def frontier_2d(rows: DataFrame, *, least: str, most: str) -> DataFrame:
     """The rows that no other dominates when `least` is to be small and `most` large (both measured): values of least
     with their greatest most (summed in tasks), then a running maximum over those by ranges of `least`."""
     best = rows.groupBy(least).agg(F.max(most).alias("_m"))
-    ranged = best.repartitionByRange(least).withColumn("_p", F.spark_partition_id())
+    ranged = materialize(best.repartitionByRange(least).withColumn("_p", F.spark_partition_id()), "ranged")  # ranges are drawn once
     within = Window.partitionBy("_p").orderBy(least).rowsBetween(Window.unboundedPreceding, -1)
     tops = sorted((r["_p"], r["m"]) for r in ranged.groupBy("_p").agg(F.max("_m").alias("m")).collect())  # a number for each partition
     before, top = {}, None
@@ -103,6 +105,11 @@ def serving_rollup(requests: DataFrame, *, sla_ttft: float, sla_e2e: float, by:
     return requests.groupBy(*by).agg(F.count("*").alias("n"), F.count_if("ok").alias("completed"), F.sum(F.when(F.col("ok"), F.col("tokens"))).cast("long").alias("tokens"), F.try_divide(F.count_if(good), F.count_if("ok")).alias("goodput"))
 
 
+def length_stats(rows: DataFrame, column: str, by: tuple[str, ...] = ()) -> DataFrame:
+    """Mean, least, most and n of a length."""
+    return rows.groupBy(*by).agg(F.avg(column).alias("mean"), F.min(column).alias("least"), F.max(column).alias("most"), F.count(column).alias("n"))
+
+
 def seed_aggregate(rows: DataFrame, metrics: tuple[str, ...], by: tuple[str, ...]) -> DataFrame:
     """Mean, population deviation and n of each metric over runs; NaN and null left out."""
     clean = lambda c: F.when(~F.isnan(c), F.col(c))

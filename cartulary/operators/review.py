@@ -27,7 +27,16 @@ def status_of(action: Column) -> Column:
 def canonical_sha256(rows: Iterator[pd.Series]) -> Iterator[pd.Series]:
     """Of a JSON text: SHA-256 of the same value with sorted keys, no spaces, nulls kept, UTF-8."""
     for batch in rows:
-        yield batch.map(lambda x: hashlib.sha256(json.dumps(json.loads(x), sort_keys=True, separators=(",", ":"), ensure_ascii=False).encode("utf-8")).hexdigest(), na_action="ignore")
+        yield batch.map(lambda x: _canonical(_with_edits(json.loads(x))), na_action="ignore")
+
+
+def _canonical(value) -> str:
+    return hashlib.sha256(json.dumps(value, sort_keys=True, separators=(",", ":"), ensure_ascii=False).encode("utf-8")).hexdigest()
+
+
+def _with_edits(value):
+    """An event without edits has an empty list of them under its hash."""
+    return value | {"edits": value["edits"] or []} if isinstance(value, dict) and "edits" in value else value
 
 
 def with_hash(events: DataFrame) -> DataFrame:
@@ -45,16 +54,37 @@ def bad_events(events: DataFrame) -> DataFrame:
 
 
 def chain(events: DataFrame, *, order: tuple[str, ...] = ("seq",)) -> DataFrame:
-    """Events with prev_event_id: the id of the one before of the same qa_id."""
-    return events.withColumn("prev_event_id", F.lag("event_id").over(Window.partitionBy("qa_id").orderBy(*order)))
+    """Events with prev_event_id (the id of the one before of the same qa_id), which their own hash covers, and so
+    with event_sha256 and event_id. A chain is made in order, but a task holds only the last id of the qa_id it is at."""
+    bare = events.drop("prev_event_id", "event_sha256", "event_id")
+    body = F.struct(*[(F.col(c) if c in bare.columns else F.lit(None).cast("string")).alias(c) for c in HASHED])
+    rows = bare.withColumn("_body", F.to_json(body, {"ignoreNullFields": "false"})).repartition("qa_id").sortWithinPartitions("qa_id", *order)
+    schema = T.StructType([*bare.schema.fields, *[T.StructField(c, T.StringType()) for c in ("prev_event_id", "event_sha256", "event_id")]])
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        at = last = None
+        for pdf in batches:
+            marks = []
+            for key, body in zip(pdf["qa_id"], pdf["_body"], strict=True):
+                before = last if key == at else None
+                content = json.loads(body) | {"prev_event_id": before}
+                content["edits"] = content["edits"] or []
+                digest = _canonical(content)
+                at, last = key, digest[:24]
+                marks.append((before, digest, last))
+            yield pdf.drop(columns="_body").assign(**dict(zip(("prev_event_id", "event_sha256", "event_id"), zip(*marks, strict=True) if marks else ([], [], []), strict=True)))
+
+    return rows.mapInPandas(run, schema)
 
 
 def chain_faults(events: DataFrame, *, order: tuple[str, ...] = ("seq",)) -> DataFrame:
-    """(qa_id, event_id, fault): duplicate_id or broken_chain; bad_hash is with_hash joined on event_id."""
+    """(qa_id, event_id, fault) of events whose hash isn't that of their content (bad_hash), whose id was there
+    before (duplicate_id), or that don't follow the one before of their qa_id (broken_chain)."""
+    body = F.to_json(F.struct(*[(F.col(c) if c in events.columns else F.lit(None).cast("string")).alias(c) for c in HASHED]), {"ignoreNullFields": "false"})
     twice = Window.partitionBy("event_id").orderBy(*order)
     before = F.lag("event_id").over(Window.partitionBy("qa_id").orderBy(*order))
-    rows = events.withColumns({"_n": F.row_number().over(twice), "_before": before})
-    fault = F.when(F.col("_n") > 1, "duplicate_id").when(~F.col("prev_event_id").eqNullSafe(F.col("_before")), "broken_chain")
+    rows = events.withColumns({"_hash": canonical_sha256(body), "_n": F.row_number().over(twice), "_before": before})
+    fault = F.when(~F.col("event_sha256").eqNullSafe(F.col("_hash")), "bad_hash").when(F.col("_n") > 1, "duplicate_id").when(~F.col("prev_event_id").eqNullSafe(F.col("_before")), "broken_chain")
     return rows.withColumn("fault", fault).where("fault is not null").select("qa_id", "event_id", "fault")
 
 
@@ -81,6 +111,14 @@ def export_training(records: DataFrame, events: DataFrame, allowed: DataFrame, *
     return rows.withColumn("split", split).drop("_allowed")
 
 
+def redact_for_report(records: DataFrame, *, has_source_access: bool = False) -> DataFrame:
+    """P20: records whose evidence keeps its addresses and hashes but not the quotes, for readers without the sources."""
+    if has_source_access:
+        return records
+    shown = F.transform("evidence", lambda e: e.withField("quote", F.lit(None).cast("string")).withField("quote_redacted", F.lit(True)))
+    return records.withColumns({"evidence": shown, "source_redacted": F.lit(True)})
+
+
 def trace(records: DataFrame, events: DataFrame, *, order: tuple[str, ...] = ("seq",)) -> DataFrame:
     """(qa_id, review_status, approved, n_events, n_evidence, traceable)."""
     n = events.groupBy("qa_id").agg(F.count("*").alias("n_events"))

@@ -21,20 +21,32 @@ class Stage:
     version: str = "1"
 
 
-def signatures(stages: list[Stage]) -> dict[str, str]:
-    """A stage's signature covers its own parameters and the signatures of what it needs."""
-    out: dict[str, str] = {}
+def source_mark(df: DataFrame) -> str:
+    """Of a source: its schema and its files with their lengths and times, or its plan where it has no files."""
+    spark = df.sparkSession
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    files = []
+    for path in sorted(df.inputFiles()):
+        at = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(path))
+        status = at.getFileSystem(conf).getFileStatus(at)
+        files.append([path, status.getLen(), status.getModificationTime()])
+    return hashlib.sha256(json.dumps([df.schema.json(), files or df.semanticHash()]).encode()).hexdigest()
+
+
+def signatures(stages: list[Stage], sources: dict[str, str] | None = None) -> dict[str, str]:
+    """A stage's signature covers its own parameters, the signatures of what it needs and the marks of its sources."""
+    out: dict[str, str] = dict(sources or {})
     for s in stages:
         body = json.dumps([s.name, s.version, s.params, [out[n] for n in s.needs if n in out]], sort_keys=True, ensure_ascii=False)
         out[s.name] = hashlib.sha256(body.encode()).hexdigest()
-    return out
+    return {s.name: out[s.name] for s in stages}
 
 
 def run_stages(spark: SparkSession, stages: list[Stage], sources: dict[str, DataFrame], root: str) -> tuple[dict[str, DataFrame], list[str]]:
     """(tables by stage, names of stages that ran). A stage's table lies under its signature, so a changed stage and all
     that follow from it run anew, and all others are read; a table counts once Spark's commit marked it whole."""
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    tables, ran, marks = dict(sources), [], signatures(stages)
+    tables, ran, marks = dict(sources), [], signatures(stages, {n: source_mark(d) for n, d in sources.items()})
     for s in stages:
         path = f"{root}/{s.name}-{marks[s.name][:16]}"
         done = jvm.org.apache.hadoop.fs.Path(path + "/_SUCCESS")

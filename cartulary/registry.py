@@ -39,13 +39,20 @@ def entry(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    _all()
     return dict(_queries)
 
 
 def oracle_sql() -> dict[str, str]:
+    _all()
     return dict(_sql)
 
 
+def _all() -> None:
+    """The other module of queries registers its own when it is imported."""
+    from cartulary import registry_runs  # noqa: F401
+
+
 # SQL of the normalisers, for texts without compatibility characters.
 def _marks(marks: str) -> str:
     return "[" + "".join("\\" + c if c.isascii() else c for c in dict.fromkeys(marks)).replace("'", "''") + "]"
@@ -91,10 +98,11 @@ w AS (SELECT doc_id, coalesce(reason, CASE WHEN doc_id <> first THEN 'duplicate'
 
 def _waterfall(spark: SparkSession, sf_dir: str) -> DataFrame:
     pairs = _pairs(spark, sf_dir)
-    checked = pairs.withColumn("reason", quality.reject_reason(F.col("question"), F.col("answer")))
-    good = quality.keep_first(checked.where("reason is null"), text.norm_key(F.col("answer")), "doc_id")
-    good = good.withColumn("reason", F.when(~F.col("kept"), "duplicate")).drop("kept")
-    return good.unionByName(checked.where("reason is not null"))
+    checked = pairs.select("doc_id", quality.reject_reason(F.col("question"), F.col("answer")).alias("reason"), F.sha2(text.norm_key(F.col("answer")), 256).alias("key"))
+    # Rows that fail are keys of their own, so that all go through one pass and none is a copy of another.
+    key = F.when(F.col("reason").isNull(), F.col("key")).otherwise(F.concat(F.lit("failed "), "doc_id"))
+    marked = quality.keep_first(checked, key, "doc_id")
+    return marked.select("doc_id", F.coalesce("reason", F.when(~F.col("kept"), "duplicate")).alias("reason"))
 
 
 @registered(WATERFALL + "SELECT doc_id, reason FROM w")
@@ -137,11 +145,11 @@ def greedy_dedup(spark, sf_dir):
     return quality.greedy_dedup(rows, text=F.col("text"), order="doc_id", threshold=0.9).select("doc_id", "reason")
 
 
-QUERY = "SELECT item_id, array_to_string(list_slice(string_split(text, ' '), 1, 8), ' ') AS question FROM benchmark"
+QUERY = "SELECT item_id, text AS question FROM benchmark"
 
 
 def _questions(spark, sf_dir):
-    return table(spark, sf_dir, "benchmark").select("item_id", F.array_join(F.slice(F.split("text", " "), 1, 8), " ").alias("question"))
+    return table(spark, sf_dir, "benchmark").select("item_id", F.col("text").alias("question"))
 
 
 @registered(
@@ -158,7 +166,7 @@ def _questions(spark, sf_dir):
     FROM s WHERE score > 0 QUALIFY rank < 5"""
 )
 def bm25_search(spark, sf_dir):
-    got = retrieval.bm25(table(spark, sf_dir, "documents"), _questions(spark, sf_dir), corpus_id="doc_id", query_id="item_id", compose=False)
+    got = retrieval.bm25(table(spark, sf_dir, "documents"), _questions(spark, sf_dir), corpus_id="doc_id", query_id="item_id")
     return got.select("query_id", "element_id", F.round("score", 6).alias("score"), F.col("rank").cast("long").alias("rank"))
 
 
@@ -172,7 +180,7 @@ LEX = f"""WITH q AS ({QUERY}), d AS (SELECT doc_id, list_filter(string_split({sq
 
 @registered(LEX + " SELECT item_id AS query_id, doc_id AS element_id, round(score, 6) AS score, rank FROM r")
 def lexical_search(spark, sf_dir):
-    got = retrieval.lexical(table(spark, sf_dir, "documents"), _questions(spark, sf_dir), corpus_id="doc_id", query_id="item_id", compose=False)
+    got = retrieval.lexical(table(spark, sf_dir, "documents"), _questions(spark, sf_dir), corpus_id="doc_id", query_id="item_id")
     return got.select("query_id", "element_id", F.round("score", 6).alias("score"), F.col("rank").cast("long").alias("rank"))
 
 
@@ -185,7 +193,7 @@ def lexical_search(spark, sf_dir):
 )
 def recall_at_5(spark, sf_dir):
     docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
-    got = retrieval.lexical(docs, _questions(spark, sf_dir), corpus_id="doc_id", query_id="item_id", compose=False)
+    got = retrieval.lexical(docs, _questions(spark, sf_dir), corpus_id="doc_id", query_id="item_id")
     ranked = got.groupBy("query_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("rank", "element_id"))), lambda x: x["element_id"]).alias("got"))
     gold = docs.join(F.broadcast(items.withColumnRenamed("text", "quote")), F.expr("contains(text, quote)")).groupBy(F.col("item_id").alias("query_id")).agg(F.collect_set("doc_id").alias("gold"))  # the benchmark's items are few
     rows = items.select(F.col("item_id").alias("query_id")).join(gold, "query_id", "left").join(ranked, "query_id", "left")
@@ -193,12 +201,12 @@ def recall_at_5(spark, sf_dir):
     return rows.select("query_id", retrieval.recall_at_k(F.coalesce("gold", empty), F.coalesce("got", empty), 5).alias("recall"))
 
 
-@registered("SELECT b.item_id AS quote_id, d.doc_id, CASE WHEN contains(trim(regexp_replace(d.text, '\\s+', ' ', 'g')), trim(regexp_replace(b.text, '\\s+', ' ', 'g'))) THEN 'p1-b0' END AS element_id FROM benchmark b JOIN documents d ON d.doc_id % 40 = b.item_id % 40")
+@registered("""WITH d AS (SELECT doc_id, trim(regexp_replace(text, '\\s+', ' ', 'g')) AS t FROM documents), q AS (SELECT item_id, trim(regexp_replace(text, '\\s+', ' ', 'g')) AS t FROM benchmark)
+    SELECT item_id AS quote_id, doc_id, 'p1-b0' AS element_id FROM q JOIN d ON contains(d.t, q.t)""")
 def quote_lookup(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents").select("doc_id", F.lit("p1-b0").alias("element_id"), F.lit(0).alias("index"), text.collapse(F.col("text")).alias("text"))
-    items = table(spark, sf_dir, "benchmark")
-    quotes = docs.select("doc_id").join(items, F.col("doc_id") % 40 == F.col("item_id") % 40).select(F.col("item_id").alias("quote_id"), "doc_id", F.col("text").alias("quote"))
-    return evidence.find_quotes(docs, quotes, compose=False)
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.lit("p1-b0").alias("element_id"), F.lit(0).alias("index"), text.norm_quote(F.col("text")).alias("text"))
+    quotes = table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("quote_id"), F.col("text").alias("quote"))
+    return evidence.find_quotes_anywhere(docs, quotes)
 
 
 @registered(
@@ -330,12 +338,27 @@ def review_latest(spark, sf_dir):
     return review.latest(_log(spark, sf_dir), order=("ts", "event_id")).drop("reviewer")
 
 
-@registered(f"""WITH l AS ({LOG}), c AS (SELECT *, lag(event_id) OVER (PARTITION BY qa_id ORDER BY ts, event_id) AS before FROM l)
-    SELECT qa_id, event_id, 'broken_chain' AS fault FROM c WHERE (CASE WHEN event_id % 97 = 0 THEN 0 ELSE before END) IS DISTINCT FROM before""")
+BODY = """'{"action":"' || {b}.action || '","edits":[],"evidence_anchor":null,"note":null,"prev_event_id":' || {prev} || ',"qa_id":' || {b}.qa_id || ',"reject_reason":' || CASE WHEN {b}.action = 'reject' THEN '"other"' ELSE 'null' END || ',"reviewer":"r1","timestamp":"' || strftime({b}.ts, '%Y-%m-%dT%H:%M:%SZ') || '"}'"""
+
+
+def _body(b: str, prev: str) -> str:
+    return BODY.replace("{b}", b).replace("{prev}", prev)
+
+
+@registered(
+    f"""WITH RECURSIVE l AS (SELECT *, row_number() OVER (PARTITION BY qa_id ORDER BY ts, event_id) AS n FROM ({LOG})),
+    c AS (SELECT qa_id, n, event_id AS no, action, NULL::VARCHAR AS prev, left(sha256({_body('l', "'null'")}), 24) AS id FROM l WHERE n = 1
+      UNION ALL SELECT l.qa_id, l.n, l.event_id, l.action, c.id, left(sha256({_body('l', """'"' || c.id || '"'""")}), 24) FROM c JOIN l ON l.qa_id = c.qa_id AND l.n = c.n + 1),
+    k AS (SELECT *, lag(id) OVER (PARTITION BY qa_id ORDER BY n) AS before, (no % 97 = 0 AND action <> 'accept') OR no % 89 = 0 AS bad FROM c WHERE no % 83 <> 0)
+    SELECT qa_id, id AS event_id, CASE WHEN bad THEN 'bad_hash' ELSE 'broken_chain' END AS fault FROM k WHERE bad OR prev IS DISTINCT FROM before"""
+)
 def review_chain(spark, sf_dir):
-    chained = review.chain(_log(spark, sf_dir), order=("ts", "event_id"))
-    spoilt = chained.withColumn("prev_event_id", F.when(F.col("event_id") % 97 == 0, F.lit(0)).otherwise(F.col("prev_event_id")))
-    return review.chain_faults(spoilt, order=("ts", "event_id"))
+    log = _log(spark, sf_dir).withColumnRenamed("event_id", "no").drop("value")
+    log = log.withColumns({"timestamp": F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'"), "reject_reason": F.when(F.col("action") == "reject", "other")})
+    chained = review.chain(log, order=("ts", "no"))
+    # Some events are changed, some have another predecessor, some are gone.
+    spoilt = chained.where("no % 83 <> 0").withColumns({"action": F.when(F.col("no") % 97 == 0, "accept").otherwise(F.col("action")), "prev_event_id": F.when(F.col("no") % 89 == 0, "x").otherwise(F.col("prev_event_id"))})
+    return review.chain_faults(spoilt, order=("ts", "no"))
 
 
 @registered(f"""WITH l AS ({LOG}), s AS (SELECT qa_id, {STATUS} AS st FROM l QUALIFY row_number() OVER (PARTITION BY qa_id ORDER BY ts DESC, event_id DESC) = 1),
@@ -641,12 +664,6 @@ def label_agreement(spark, sf_dir):
     return both.groupBy("quality", "toxic").agg(F.count("*").alias("n"), F.count_if(F.length("text") < 500).alias("n_short"))
 
 
-@registered("SELECT s_nationkey, s_suppkey, s_acctbal FROM supplier QUALIFY row_number() OVER (PARTITION BY s_nationkey ORDER BY s_acctbal DESC, s_suppkey) <= 3")
-def top_k_per_group(spark, sf_dir):
-    order = Window.partitionBy("s_nationkey").orderBy(F.desc("s_acctbal"), "s_suppkey")
-    return table(spark, sf_dir, "supplier").withColumn("n", F.row_number().over(order)).where("n <= 3").select("s_nationkey", "s_suppkey", "s_acctbal")
-
-
 @registered("SELECT n_nationkey AS ask_id, coalesce(min(CASE WHEN r_regionkey = n_nationkey THEN r_regionkey END), arg_min(r_regionkey, r_regionkey) FILTER (contains(lower(r_name), lower(left(n_name, 1))))) AS found FROM nation, region GROUP BY n_nationkey")
 def question_lookup(spark, sf_dir):
     asked = table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("ask_id"), F.col("n_nationkey").alias("qa_id"), F.left("n_name", F.lit(1)).alias("question"))
