@@ -1,42 +1,19 @@
-"""What the corpus operators share: the shared folder, materialised tables, text batches, hashing rules."""
+"""What the corpus operators share: materialised tables, text batches, hashing rules."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cartulary.tables import materialize, shared_folder  # noqa: F401  (what operators import from here)
+
 #: Rows that a Python operator turns into Python objects at a time.
 SLICE_ROWS = 128
 
 
-def shared_root(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir, which driver and executors share.
-
-    Where the session names none (tests, a laptop), a temporary folder is set for it.
-    """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = spark.conf.get("cartulary.local.checkpoint.dir", None)
-        if not root:
-            root = "file://" + tempfile.mkdtemp(prefix="cartulary-")
-            spark.conf.set("cartulary.local.checkpoint.dir", root)
-            spark.sparkContext.setCheckpointDir(root)
-    return root.rstrip("/")
-
-
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Writes df as Parquet to the shared folder and reads it back: a cut of lineage that outlives executors."""
-    spark = df.sparkSession
-    path = f"{shared_root(spark)}/cartulary-{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def slices(batches: Iterable[pa.RecordBatch], rows: int = SLICE_ROWS) -> Iterator[pa.RecordBatch]:
     """Cuts Arrow batches into runs of a few rows, so that long texts never meet in one list."""
     for batch in batches:

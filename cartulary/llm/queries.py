@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cartulary.llm import fingerprints, language_model, licenses, merge_dropout, packing, quality_rules, secret_scan, simhash, token_output, toxicity
-from cartulary.llm.common import fold_of, read_table, shared_root
+from cartulary.llm.common import fold_of, read_table, shared_folder
 from cartulary.session import shipped
 
 #: Where the vocabulary files of public tokenizers are.
@@ -36,7 +36,7 @@ def op3_merge_dropout(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = f"{shared_root(spark)}/cartulary-segments-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/cartulary-segments-{uuid.uuid4().hex}"
     token_output.write_segments(read_table(spark, sf_dir, "documents"), path, tokenizer=TOKENIZER_PATH("word_bpe_49k.json"), end_id=1)
     return token_output.read_segments(spark, path).withColumnRenamed("id", "doc_id")
 
@@ -53,21 +53,29 @@ def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_sql() -> str:
-    values = ", ".join(f"('{name}', [{', '.join(repr(g) for g in grams)}])" for name, grams in licenses.templates())
+    low, high = licenses.THRESHOLD, 2 - licenses.THRESHOLD
+    values = ", ".join(f"('{name}', {words}, [{', '.join(repr(g) for g in grams)}])" for name, words, grams in licenses.templates())
     return f"""
-    WITH t AS (SELECT name, grams, len(grams) AS b FROM (VALUES {values}) AS v(name, grams)),
-    r AS (SELECT row_number() OVER () AS rid, doc_id, list_distinct([coalesce(text, '')] || string_split(coalesce(text, ''), chr(10))) AS units FROM documents),
+    WITH t AS (SELECT row_number() OVER () AS tid, name, n, grams, len(grams) AS b FROM (VALUES {values}) AS v(name, n, grams)),
+    r AS (SELECT row_number() OVER () AS rid, doc_id, list_distinct([coalesce(text, '')] || string_split(coalesce(text, ''), chr(10))) AS units, coalesce(text, '') AS text FROM documents),
     e AS (SELECT rid, doc_id, len(units) AS n_units, unnest(units) AS unit FROM r),
     w AS (SELECT rid, doc_id, n_units, list_filter(string_split(regexp_replace(lower(unit), '[^0-9a-z]+', ' ', 'g'), ' '), lambda x: x <> '') AS w FROM e),
     g AS (SELECT row_number() OVER () AS uid, rid, doc_id, n_units, list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS g FROM w),
     s AS (SELECT uid, rid, name, b, 2.0::DOUBLE * len(list_intersect(grams, g)) / (b + len(g)) AS score FROM g JOIN t
-          ON b * {2 - licenses.THRESHOLD} >= len(g) * {licenses.THRESHOLD} AND b * {licenses.THRESHOLD} <= len(g) * {2 - licenses.THRESHOLD}),
-    h AS (SELECT * FROM s WHERE score >= {licenses.THRESHOLD}),
-    best AS (SELECT rid, name, score FROM h QUALIFY row_number() OVER (PARTITION BY rid ORDER BY score DESC, b DESC, name) = 1),
-    n AS (SELECT rid, count(DISTINCT uid) AS n_matches FROM h GROUP BY rid),
+          ON b * {high} >= len(g) * {low} AND b * {low} <= len(g) * {high}),
+    h AS (SELECT * FROM s WHERE score >= {low}),
+    ww AS (SELECT rid, list_filter(string_split(regexp_replace(lower(text), '[^0-9a-z]+', ' ', 'g'), ' '), lambda x: x <> '') AS w FROM r),
+    o AS (SELECT rid, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]) AS o FROM ww),
+    c AS (SELECT rid, tid, name, n, grams, b, o FROM o JOIN t ON len(list_intersect(grams, o)) * {high} >= b * {low}),
+    p AS (SELECT rid, tid, name, n, grams, b, o, unnest(range(1, len(o) + 1)) AS i FROM c),
+    x AS (SELECT rid, tid, name, b, grams, list_distinct(o[i:i + n - 2]) AS g FROM p WHERE list_contains(grams, o[i])),
+    y AS (SELECT rid, tid, name, b, max(2.0::DOUBLE * len(list_intersect(grams, g)) / (b + len(g))) AS score FROM x GROUP BY ALL HAVING score >= {low}),
+    best AS (SELECT rid, name, score FROM (SELECT rid, name, b, score FROM h UNION ALL SELECT rid, name, b, score FROM y) QUALIFY row_number() OVER (PARTITION BY rid ORDER BY score DESC, b DESC, name) = 1),
+    k AS (SELECT rid, count(DISTINCT uid) AS n_matches FROM h GROUP BY rid),
+    v AS (SELECT rid, count(*) AS n_windows FROM y GROUP BY rid),
     d AS (SELECT DISTINCT rid, doc_id, n_units FROM e)
-    SELECT doc_id, name AS license, coalesce(score, 0.0::DOUBLE) AS score, coalesce(n_matches, 0) AS n_matches, n_units
-    FROM d LEFT JOIN best USING (rid) LEFT JOIN n USING (rid)
+    SELECT doc_id, name AS license, coalesce(score, 0.0::DOUBLE) AS score, coalesce(n_matches, 0) AS n_matches, n_units, coalesce(n_windows, 0) AS n_window_templates
+    FROM d LEFT JOIN best USING (rid) LEFT JOIN k USING (rid) LEFT JOIN v USING (rid)
     """
 
 
