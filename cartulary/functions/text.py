@@ -6,6 +6,8 @@ Classes are Unicode-aware ((?U)), so Hangul and accented letters are letters.
 
 from __future__ import annotations
 
+import unicodedata
+
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -46,6 +48,17 @@ def nfkc(x: pd.Series) -> pd.Series:
     return x.str.normalize("NFKC")
 
 
+@F.pandas_udf(T.ArrayType(T.StringType()))
+def nfkc_all(x: pd.Series) -> pd.Series:
+    """Of an array's texts: a lambda can't hold a Python function."""
+    return x.map(lambda a: [None if v is None else unicodedata.normalize("NFKC", v) for v in a], na_action="ignore")
+
+
+def composed_quotes(items: Column, composed: Column) -> Column:
+    """An array of structs with its quotes replaced by those of nfkc_all, a column of its own."""
+    return F.transform(items, lambda e, i: e.withField("quote", F.get(composed, i)))
+
+
 def first_filled(*columns: Column) -> Column:
     """The first that isn't blank, stripped; '' if none."""
     return F.coalesce(*[F.nullif(strip(c), F.lit("")) for c in columns], F.lit(""))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from cartulary.functions.numbers import answer_numbers, close_to, computed, evidence_numbers, groundable
 from cartulary.functions.pii import has_real
-from cartulary.functions.text import let, looks_ocr_noisy, norm_quote, quote_sha256, strip
+from cartulary.functions.text import let, looks_ocr_noisy, nfkc_all, norm_quote, strip
 
 # Categories that call for abstention or need no grounding, markers of abstention, weights, error order.
 ABSTAIN = ("unanswerable", "conflicting_evidence", "prompt_injection")
@@ -85,6 +85,17 @@ def verify(records: DataFrame, elements: DataFrame, *, compose: bool = True) ->
     return out.select("qa_id", ok.alias("ok"), "has_evidence", *checks)
 
 
+def verified_only(records: DataFrame, verified: DataFrame) -> DataFrame:
+    """Records that didn't fail verification."""
+    return records.join(verified.where(~F.coalesce(F.col("ok"), F.lit(False))).select("qa_id").distinct(), "qa_id", "left_anti")
+
+
+def gate(records: DataFrame) -> DataFrame:
+    """Records with quarantine_reason: real_pii_detected where an answer or a quote has real personal data, else null."""
+    blob = F.concat_ws(" ", F.coalesce("answer", F.lit("")), F.transform("evidence", lambda x: F.coalesce(x["quote"], F.lit(""))))
+    return records.withColumn("quarantine_reason", F.when(has_real(blob), "real_pii_detected"))
+
+
 def integrity(verified: DataFrame) -> DataFrame:
     """A4: one row: n, n_ok and their ratio, 1.0 without rows."""
     return verified.agg(F.count("*").alias("n"), F.count_if("ok").alias("n_ok"), F.coalesce(F.avg(F.col("ok").cast("double")), F.lit(1.0)).alias("integrity"))
@@ -98,10 +109,16 @@ def abstains(answer: Column, markers: tuple[str, ...]) -> Column:
 def rewards(records: DataFrame, *, markers: tuple[str, ...], latest_version: str | None = None, schema_ok: Column | None = None, compose: bool = True) -> DataFrame:
     """(qa_id, the seven components, length_penalty, total). Records: qa_id, answer, answerable, category,
     source_status, document_version, computation (op, operands), answer_value, evidence."""
-    e = F.coalesce("evidence", F.array().cast(EVIDENCE))
+    records = records.withColumn("evidence", F.coalesce("evidence", F.array().cast(EVIDENCE)))
+    e = F.col("evidence")
+    records = records.withColumn("_composed", nfkc_all(F.transform(e, lambda x: x["quote"])) if compose else F.transform(e, lambda x: x["quote"]))
     answer, answerable = F.coalesce("answer", F.lit("")), F.coalesce("answerable", F.lit(True))
     abstain_kind = F.coalesce(F.col("category").isin(*ABSTAIN), F.lit(False))
-    good = lambda x: (norm_quote(x["quote"], compose=compose) != "") & F.coalesce(x["quote_sha256"] == quote_sha256(x["quote"], compose=compose), F.lit(False)) & F.coalesce(x["page"] >= 1, F.lit(False)) & (F.coalesce(x["element_id"], F.lit("")) != "")
+
+    def good(x: Column, i: Column) -> Column:
+        quote = norm_quote(F.get(F.col("_composed"), i), compose=False)
+        return (quote != "") & F.coalesce(x["quote_sha256"] == F.sha2(quote, 256), F.lit(False)) & F.coalesce(x["page"] >= 1, F.lit(False)) & (F.coalesce(x["element_id"], F.lit("")) != "")
+
     validity = F.when(F.size(e) > 0, F.size(F.filter(e, good)) / F.size(e)).when(abstain_kind | ~answerable, 1.0).otherwise(0.0)
     quoted = F.flatten(F.transform(e, lambda x: groundable(x["quote"])))
     said = groundable(answer)
@@ -155,8 +172,9 @@ def classify(records: DataFrame, scored: DataFrame, *, gold: DataFrame | None =
 
 
 def error_summary(classified: DataFrame) -> DataFrame:
-    """(category, n) by count, then name."""
-    return classified.select(F.explode("categories").alias("category")).groupBy("category").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "category")
+    """(category, n) in the categories' fixed order."""
+    place = F.array_position(F.array(*[F.lit(e) for e in ERRORS]), F.col("category"))
+    return classified.select(F.explode("categories").alias("category")).groupBy("category").agg(F.count("*").alias("n")).orderBy(place, "category")
 
 
 def nearest_before(rows: DataFrame, *, key: str, order: str, value: Column) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cartulary.functions.numbers import all_in, answer_dates, answer_numbers, answer_units
-from cartulary.functions.text import char_bag, char_f1, exact_match, norm_answer
+from cartulary.functions.text import char_bag, char_f1, composed_quotes, exact_match, nfkc_all, norm_answer
 from cartulary.operators.quality import looks_like_abstention
 from cartulary.operators.retrieval import recall_at_k
 
@@ -59,7 +59,13 @@ def score_examples(gold: DataFrame, predictions: DataFrame, *, k: int = 5, pii_t
     if_answerable = lambda c: F.when(F.col("_ok"), c)
     pages = lambda c: F.transform(c, lambda e: e["page"])
     none = F.array().cast(gold.schema["evidence"].dataType)
-    evidence, cited = F.coalesce("evidence", none), F.coalesce("_citations", F.array().cast(predictions.schema["citations"].dataType))
+    rows = rows.withColumns({"_ev": F.coalesce("evidence", none), "_ci": F.coalesce("_citations", F.array().cast(predictions.schema["citations"].dataType))})
+    evidence, cited = F.col("_ev"), F.col("_ci")
+    span = citation_span(cited, evidence, compose=False)
+    if compose:
+        quotes = lambda c: nfkc_all(F.transform(c, lambda e: e["quote"]))
+        rows = rows.withColumns({"_evq": quotes("_ev"), "_ciq": quotes("_ci")})
+        span = citation_span(composed_quotes(cited, F.col("_ciq")), composed_quotes(evidence, F.col("_evq")), compose=False)
     out = rows.select(
         "qa_id",
         F.coalesce("category", F.lit("unknown")).alias("category"),
@@ -71,7 +77,7 @@ def score_examples(gold: DataFrame, predictions: DataFrame, *, k: int = 5, pii_t
         if_answerable(all_in(answer_units(w), answer_units(s))).alias("unit_exact"),
         if_answerable(all_in(answer_dates(w), answer_dates(s))).alias("date_exact"),
         if_answerable(citation_page(pages(cited), pages(evidence))).alias("citation_page_correct"),
-        if_answerable(citation_span(cited, evidence, compose=compose)).alias("citation_span_correct"),
+        if_answerable(span).alias("citation_span_correct"),
         (F.coalesce("_there", F.lit(False)) & (s != "")).alias("schema_valid"),
         grounded(s, F.col("_ab"), F.transform(evidence, lambda e: F.coalesce(e["quote"], F.lit(""))), compose=compose).alias("grounded"),
         F.exists(F.array(*[F.lit(t) for t in pii_terms if t] or [F.lit(None).cast("string")]), lambda t: F.coalesce(F.contains(s, t), F.lit(False))).alias("pii_leaked"),
@@ -146,6 +152,16 @@ def paired_bootstrap(a: DataFrame, b: DataFrame, metric: str, *, n: int = 2000,
     return both.groupBy(group).applyInPandas(resample, f"{group} {both.schema[group].dataType.simpleString()}, n_pairs long, delta double, low double, high double, significant boolean")
 
 
+def score_pairs(gold: DataFrame, candidates: DataFrame, *, by: tuple[str, ...] = ()) -> DataFrame:
+    """N and the means of em and f1 to 4 places over gold records (qa_id, answer, category) that have a candidate
+    (qa_id, answer), in all or by category; noughts without a pair."""
+    said = candidates.select("qa_id", F.col("answer").alias("_said"))
+    rows = gold.join(said, "qa_id").select("*", F.coalesce("_said", F.lit("")).alias("_p"), F.coalesce("answer", F.lit("")).alias("_g"))
+    rows = rows.select(*[F.coalesce(F.col(c), F.lit("?")).alias(c) for c in by], exact_match(F.col("_p"), F.col("_g")).alias("_em"), char_f1(F.col("_p"), F.col("_g")).alias("_f1"))
+    mean = lambda c: F.coalesce(F.round(F.avg(c), 4), F.lit(0.0))
+    return rows.groupBy(*by).agg(F.count("*").alias("n"), mean("_em").alias("em"), mean("_f1").alias("f1"))
+
+
 def generate(rows: DataFrame, predict, *, output: str = "answer") -> DataFrame:
     """A model as a table function: predict(list of rows as dicts) -> texts, a batch at a time, one predict a task."""
     schema = rows.withColumn(output, F.lit(None).cast("string")).schema

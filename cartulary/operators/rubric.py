@@ -81,11 +81,13 @@ def run_range(runs: DataFrame, key: str, by: tuple[str, ...]) -> DataFrame:
 
 
 def split_clean(scored: DataFrame, dims: tuple[str, ...] = STRICT) -> tuple[DataFrame, DataFrame]:
-    """K3: (clean, rejected with failed_dims)."""
+    """K3: (clean, rejected with _failed_dims and _reject_reasons: a map of those with a <dim>_reason)."""
     have = [d for d in dims if f"{d}_ok" in scored.columns]
     failed = F.array_compact(F.array(*[F.when(~F.coalesce(F.col(f"{d}_ok"), F.lit(False)), F.lit(d)) for d in have]))
-    marked = scored.withColumn("failed_dims", failed)
-    return marked.where(F.size("failed_dims") == 0).drop("failed_dims"), marked.where(F.size("failed_dims") > 0)
+    named = [F.when(~F.coalesce(F.col(f"{d}_ok"), F.lit(False)), F.struct(F.lit(d).alias("key"), F.col(f"{d}_reason").cast("string").alias("value"))) for d in have if f"{d}_reason" in scored.columns]
+    reasons = F.map_from_entries(F.array_compact(F.array(*named))) if named else F.create_map().cast("map<string,string>")
+    marked = scored.withColumns({"_failed_dims": failed, "_reject_reasons": reasons})
+    return marked.where(F.size("_failed_dims") == 0).drop("_failed_dims", "_reject_reasons"), marked.where(F.size("_failed_dims") > 0)
 
 
 def nth_first(rows: DataFrame, key: list[str], order: str) -> DataFrame:

@@ -148,6 +148,13 @@ def serving_percentiles(requests: DataFrame, columns: tuple[str, ...] = ("ttft",
     return got.withColumns({c: F.round(c, 4) for c in ("p50", "p95", "p99")})
 
 
+def model_card(summary: dict, *, name: str, base_model: str, arm: str) -> str:
+    """K9: a model's card as text: its base, and its arm's metrics, of which what wasn't measured says so."""
+    metrics = summary.get("arms", {}).get(arm, {}).get("metrics", {})
+    shown = lambda m: f"{m['mean']} ± {m['std']} (n={m['n']})" if isinstance(m, dict) and m.get("n") else "not measured"
+    return "\n".join(["---", f"base_model: {base_model}", "---", "", f"# {name}", "", f"Arm: {arm}.", "", "| metric | value |", "|---|---|", *[f"| {k} | {shown(v)} |" for k, v in sorted(metrics.items())], ""])
+
+
 def report_markdown(table: DataFrame, title: str, *, limit: int = 200) -> str:
     """K8: a small table as a Markdown report; a report shows `limit` rows at most and says how many there are."""
     rows = table.limit(limit + 1).collect()

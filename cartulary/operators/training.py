@@ -43,6 +43,30 @@ def message_rows(records: DataFrame, *, system: str, answerable_only: bool = Tru
     return rows.select("qa_id", F.array(*[F.struct(F.lit(role).alias("role"), c.alias("content")) for role, c in said]).alias("messages"))
 
 
+def sft_rows(records: DataFrame, *, system: str, heading: str = "[근거]") -> DataFrame:
+    """K4: (qa_id, category, messages): system, question with its evidence under a heading (an unanswerable question stands
+    alone), answer."""
+    quotes = F.array_join(F.transform("evidence", lambda e: F.coalesce(e["quote"], F.lit(""))), " ")
+    asked = F.when(F.coalesce("answerable", F.lit(True)), F.concat("question", F.lit(f"\n\n{heading}\n"), F.coalesce(quotes, F.lit("")))).otherwise(F.col("question"))
+    said = (("system", F.lit(system)), ("user", asked), ("assistant", F.col("answer")))
+    return records.select("qa_id", "category", F.array(*[F.struct(F.lit(role).alias("role"), c.alias("content")) for role, c in said]).alias("messages"))
+
+
+def write_export(parted: DataFrame, path: str, *, system: str) -> None:
+    """K4: parted records (part: active, archive, held) as three folders of JSON lines: training rows of the active ones,
+    the others as they are."""
+    sft_rows(parted.where("part = 'active'"), system=system).write.mode("errorifexists").json(f"{path}/train_sft")
+    for part, folder in (("archive", "versioned_archive"), ("held", "held_for_review")):
+        parted.where(F.col("part") == part).drop("part").write.mode("errorifexists").json(f"{path}/{folder}")
+
+
+def seeded_slice(rows: DataFrame, key: str, n: int, *, seed: int = 42, skip: int = 0) -> DataFrame:
+    """N rows of an order that a hash of key and seed gives, after the first `skip`: the same rows wherever they lie.
+    Tasks keep their own first skip + n rows; those of all tasks meet in one place."""
+    order = [F.xxhash64(F.col(key).cast("string"), F.lit(seed)), F.col(key)]
+    return rows.orderBy(*order).offset(skip).limit(n) if skip else rows.orderBy(*order).limit(n)
+
+
 def instruction_rows(records: DataFrame) -> DataFrame:
     """K5: (instruction, input, output)."""
     return records.select(F.col("question").alias("instruction"), F.coalesce("context", F.lit("")).alias("input"), F.col("answer").alias("output"))

@@ -139,7 +139,16 @@ def similar_pairs(spark, sf_dir):
     return quality.similar_pairs(sets, threshold=0.9)
 
 
-@registered()
+# The scan itself, row by row: a row with a kept, similar row before it is dropped.
+GREEDY = SIMILAR.replace("WITH s AS", "WITH RECURSIVE s AS") + f""", b AS (SELECT id, list(e.i) FILTER (e.i IS NOT NULL) AS before FROM (SELECT i AS id FROM e UNION SELECT j FROM e) n LEFT JOIN e ON e.j = n.id GROUP BY id),
+o AS (SELECT *, row_number() OVER (ORDER BY id) AS k FROM b),
+r AS (SELECT 0::BIGINT AS k, []::BIGINT[] AS kept UNION ALL SELECT o.k, CASE WHEN len(list_intersect(coalesce(o.before, []), r.kept)) > 0 THEN r.kept ELSE list_append(r.kept, o.id::BIGINT) END FROM r JOIN o ON o.k = r.k + 1),
+z AS (SELECT kept FROM r ORDER BY k DESC LIMIT 1), g AS (SELECT id FROM o, z WHERE NOT list_contains(z.kept, o.id::BIGINT)),
+k AS (SELECT {sql_norm_key('text')} AS key, min(doc_id) AS first FROM documents GROUP BY 1)
+SELECT doc_id, CASE WHEN first IN (SELECT id FROM g) THEN 'near_duplicate' WHEN doc_id <> first THEN 'duplicate' END AS reason FROM documents JOIN k ON {sql_norm_key('text')} = k.key"""
+
+
+@registered(GREEDY)
 def greedy_dedup(spark, sf_dir):
     rows = table(spark, sf_dir, "documents").select("doc_id", "text")
     return quality.greedy_dedup(rows, text=F.col("text"), order="doc_id", threshold=0.9).select("doc_id", "reason")
@@ -499,7 +508,7 @@ ANSWERS = "SELECT item_id, text AS gold, left(text, (length(text) // 2)::INT) AS
     SELECT item_id, same::INT::DOUBLE AS em, round(coalesce(2 * (n / length(p)) * (n / length(g)) / (n / length(p) + n / length(g)), 0), 9) AS f1 FROM a LEFT JOIN k USING (item_id)""")
 def answer_f1(spark, sf_dir):
     b = table(spark, sf_dir, "benchmark").select("item_id", F.col("text").alias("gold"), F.left("text", F.floor(F.length("text") / 2).cast("int")).alias("answer"))
-    return b.select("item_id", text.exact_match(F.col("answer"), F.col("gold"), compose=False).alias("em"), F.round(text.char_f1(F.col("answer"), F.col("gold"), compose=False), 9).alias("f1"))
+    return b.select("item_id", text.exact_match(F.col("answer"), F.col("gold")).alias("em"), F.round(text.char_f1(F.col("answer"), F.col("gold")), 9).alias("f1"))
 
 
 TYPED = (("2024년 3월에 1,200원", "2024년 3월 1,200원"), ("약 15.5%", "15.5 퍼센트"), ("없음", "42건"), ("7명", "없음"), (None, "3일"))
@@ -587,7 +596,7 @@ EXAMPLES = """SELECT b.item_id, b.text AS gold, d.text AS quote, b.item_id % 4 <
 def _examples(spark, sf_dir):
     items = table(spark, sf_dir, "benchmark").withColumnRenamed("text", "answer")
     docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("item_id"), "text")
-    e = F.struct(F.lit("s").alias("document_sha256"), F.lit("v1").alias("document_version"), F.lit(1).alias("page"), F.col("item_id").cast("string").alias("element_id"), F.left("text", F.lit(200)).alias("quote"), F.sha2(text.norm_quote(F.left("text", F.lit(200)), compose=False), 256).alias("quote_sha256"))
+    e = F.struct(F.lit("s").alias("document_sha256"), F.lit("v1").alias("document_version"), F.lit(1).alias("page"), F.col("item_id").cast("string").alias("element_id"), F.left("text", F.lit(200)).alias("quote"), F.sha2(text.norm_quote(F.left("text", F.lit(200))), 256).alias("quote_sha256"))
     rows = items.join(docs, "item_id")
     gold = rows.select(F.col("item_id").cast("string").alias("qa_id"), F.concat(F.lit("c"), F.col("item_id") % 3).alias("category"), (F.col("item_id") % 4 != 0).alias("answerable"), "answer", F.array(e).alias("evidence"))
     half = F.left("answer", F.floor(F.length("answer") * F.when(F.col("item_id") % 2 == 0, 0.9).otherwise(0.3)).cast("int"))
@@ -598,28 +607,28 @@ def _examples(spark, sf_dir):
 @registered()
 def example_scores(spark, sf_dir):
     gold, said = _examples(spark, sf_dir)
-    return metrics.score_examples(gold, said, compose=False)
+    return metrics.score_examples(gold, said)
 
 
 @registered("""WITH e AS (SELECT item_id, item_id % 4 <> 0 AS ok, item_id % 7 <> 3 AND item_id % 5 = 0 AS ab FROM benchmark JOIN (SELECT doc_id AS item_id FROM documents) USING (item_id))
     SELECT 'c' || item_id % 3 AS category, count(*) AS n_examples, count(*) FILTER (ok) AS n_answerable, count(*) FILTER (ab AND NOT ok) AS abstain_tp, count(*) FILTER (ab AND ok) AS abstain_fp, count(*) FILTER (NOT ab AND NOT ok) AS abstain_fn FROM e GROUP BY ALL""")
 def example_aggregate(spark, sf_dir):
     gold, said = _examples(spark, sf_dir)
-    got = metrics.aggregate(metrics.score_examples(gold, said, compose=False), by=("category",))
+    got = metrics.aggregate(metrics.score_examples(gold, said), by=("category",))
     return got.select("category", "n_examples", "n_answerable", "abstain_tp", "abstain_fp", "abstain_fn")
 
 
 @registered()
 def example_taxonomy(spark, sf_dir):
     gold, said = _examples(spark, sf_dir)
-    return metrics.taxonomy(metrics.score_examples(gold, said, compose=False))
+    return metrics.taxonomy(metrics.score_examples(gold, said))
 
 
 @registered()
 def bootstrap_delta(spark, sf_dir):
     gold, said = _examples(spark, sf_dir)
-    a = metrics.score_examples(gold, said, compose=False).withColumn("arm", F.lit("half"))
-    b = metrics.score_examples(gold, said.withColumn("answer", F.lit("x")), compose=False)
+    a = metrics.score_examples(gold, said).withColumn("arm", F.lit("half"))
+    b = metrics.score_examples(gold, said.withColumn("answer", F.lit("x")))
     return metrics.paired_bootstrap(a, b.withColumn("arm", F.lit("none")), "f1")
 
 
@@ -627,8 +636,8 @@ def bootstrap_delta(spark, sf_dir):
 def evidence_integrity(spark, sf_dir):
     gold, _ = _examples(spark, sf_dir)
     docs = table(spark, sf_dir, "documents")
-    elements = docs.select(F.lit("s").alias("document_sha256"), F.col("doc_id").cast("string").alias("element_id"), F.lit(1).alias("page"), text.norm_quote(F.col("text"), compose=False).alias("text"))
-    return evidence.integrity(evidence.verify(gold.withColumns({"answer": F.lit("no number"), "category": F.lit("factual")}), elements, compose=False))
+    elements = docs.select(F.lit("s").alias("document_sha256"), F.col("doc_id").cast("string").alias("element_id"), F.lit(1).alias("page"), text.norm_quote(F.col("text")).alias("text"))
+    return evidence.integrity(evidence.verify(gold.withColumns({"answer": F.lit("no number"), "category": F.lit("factual")}), elements))
 
 
 @registered()

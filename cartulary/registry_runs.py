@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from cartulary.functions import text
-from cartulary.operators import audit, failures, layout, prompts, provenance, report, review, runs, trust
-from cartulary.registry import registered, sql_collapse, table
+from cartulary.operators import audit, evidence, failures, layout, metrics, prompts, provenance, report, review, runs, training, trust
+from cartulary.registry import registered, sql_collapse, sql_norm_answer, table
 
 # Pairs of a run: a supplier is a document, every other line a figure's.
 PAIRS = """SELECT l_suppkey AS document, l_orderkey * 10 + l_linenumber AS pos, CASE WHEN l_linenumber % 2 = 0 THEN 'image' ELSE 'text' END AS source,
@@ -337,6 +337,36 @@ def length_stats(spark, sf_dir):
     return report.length_stats(table(spark, sf_dir, "documents"), "n_chars")
 
 
+@registered("SELECT doc_id AS qa_id, source AS category, 'be exact' AS system, CASE WHEN doc_id % 4 = 0 THEN 'what' ELSE 'what' || chr(10) || chr(10) || '[근거]' || chr(10) || text || ' ' || lang END AS asked, 'a' || doc_id AS said FROM documents")
+def sft_rows(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("qa_id"), F.col("source").alias("category"), F.lit("what").alias("question"), F.concat(F.lit("a"), "doc_id").alias("answer"), (F.col("doc_id") % 4 != 0).alias("answerable"), F.array(F.struct(F.col("text").alias("quote")), F.struct(F.col("lang").alias("quote"))).alias("evidence"))
+    m = F.col("messages")
+    return training.sft_rows(docs, system="be exact").select("qa_id", "category", m[0]["content"].alias("system"), m[1]["content"].alias("asked"), m[2]["content"].alias("said"))
+
+
+GOLD = "SELECT item_id, 'c' || item_id % 3 AS category, text AS gold, CASE WHEN item_id % 5 = 0 THEN upper(text) ELSE left(text, (length(text) // 3)::INT) END AS answer FROM benchmark WHERE item_id % 7 <> 2"
+
+
+@registered(
+    f"""WITH b AS ({GOLD}), a AS (SELECT item_id, category, replace({sql_norm_answer('gold')}, ' ', '') AS g, replace({sql_norm_answer('answer')}, ' ', '') AS p, {sql_norm_answer('gold')} = {sql_norm_answer('answer')} AS same FROM b),
+    g AS (SELECT item_id, c, count(*) AS n FROM (SELECT item_id, unnest(string_split(g, '')) AS c FROM a) GROUP BY ALL), p AS (SELECT item_id, c, count(*) AS n FROM (SELECT item_id, unnest(string_split(p, '')) AS c FROM a) GROUP BY ALL),
+    k AS (SELECT item_id, sum(least(g.n, p.n)) AS n FROM g JOIN p USING (item_id, c) GROUP BY ALL),
+    f AS (SELECT category, same::INT AS em, coalesce(2 * (n / length(p)) * (n / length(g)) / (n / length(p) + n / length(g)), 0) AS f1 FROM a LEFT JOIN k USING (item_id))
+    SELECT category, count(*) AS n, round(avg(em), 4) AS em, round(avg(f1), 4) AS f1 FROM f GROUP BY 1"""
+)
+def pair_scores(spark, sf_dir):
+    i = F.col("item_id")
+    items = table(spark, sf_dir, "benchmark").select(i.alias("qa_id"), F.concat(F.lit("c"), i % 3).alias("category"), F.col("text").alias("answer"))
+    said = items.where("qa_id % 7 <> 2").select("qa_id", F.when(F.col("qa_id") % 5 == 0, F.upper("answer")).otherwise(F.left("answer", F.floor(F.length("answer") / 3).cast("int"))).alias("answer"))
+    return metrics.score_pairs(items, said, by=("category",))
+
+
+@registered("SELECT doc_id AS qa_id FROM documents WHERE length(text) % 2 = 0")
+def verified_only(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("qa_id"), (F.length("text") % 2 == 0).alias("ok"))
+    return evidence.verified_only(docs.select("qa_id"), docs)
+
+
 # Texts with compatibility characters, and what they are in N2 (fixed values).
 COMPATIBLE = (("ﬁne １２３", "fine 123"), ("ｶﾞ㌔", "ガキロ"), ("x²  ½", "x2 1⁄2"), ("Ａ　Ｂ", "A B"), ("…", "..."), ("각", "각"))
 
