@@ -249,7 +249,30 @@ def pii_redact(spark, sf_dir):
     return table(spark, sf_dir, "documents").select("doc_id", F.sha2(pii.redact(F.col("text")), 256).alias("redacted_sha256"))
 
 
-@registered()
+def _spans_sql() -> str:
+    """Matches of each kind with their places (lengths of what stands before), kinds in order of priority, those that
+    overlap an earlier kind's left out."""
+    parts = ["d AS (SELECT row_number() OVER () AS rid, doc_id, text FROM documents)"]
+    for i, k in enumerate(pii.PRIORITY):
+        p = _re(pii.PATTERNS[k])
+        parts.append(f"a{i} AS (SELECT rid, doc_id, regexp_extract_all(text, '{p}') AS v, regexp_split_to_array(text, '{p}') AS s FROM d)")
+        parts.append(
+            f"m{i} AS (SELECT rid, doc_id, '{k}' AS kind, v[j] AS value, (list_sum(list_transform(s[1:j], lambda x: length(x))) + coalesce(list_sum(list_transform(v[1:j - 1], lambda x: length(x))), 0))::INT AS b FROM (SELECT *, unnest(range(1, len(v) + 1)) AS j FROM a{i}))"
+        )
+        before = f" WHERE NOT EXISTS (SELECT 1 FROM k{i - 1} o WHERE o.rid = m.rid AND m.b < o.b + length(o.value) AND o.b < m.b + length(m.value))" if i else ""
+        parts.append(f"k{i} AS (" + (f"SELECT * FROM k{i - 1} UNION ALL " if i else "") + f"SELECT m.* FROM m{i} m{before})")
+    return ", ".join(parts)
+
+
+DIGITS = "regexp_replace(value, '\\D', '', 'g')"
+BARE = "replace(value, '-', '')"
+LUHN = f"length({DIGITS}) >= 12 AND list_sum(list_transform(range(1, length({DIGITS}) + 1), lambda j: CASE WHEN j % 2 = 1 THEN {DIGITS}[length({DIGITS}) - j + 1]::INT WHEN {DIGITS}[length({DIGITS}) - j + 1]::INT > 4 THEN 2 * {DIGITS}[length({DIGITS}) - j + 1]::INT - 9 ELSE 2 * {DIGITS}[length({DIGITS}) - j + 1]::INT END)) % 10 = 0"
+FAKE = f"""CASE kind WHEN 'email' THEN regexp_matches(lower(value), '[@.]example\\.(com|org|net)$') WHEN 'card' THEN NOT ({LUHN})
+    WHEN 'rrn' THEN try_strptime('19' || left(value, 6), '%Y%m%d') IS NULL AND try_strptime('20' || left(value, 6), '%Y%m%d') IS NULL
+    WHEN 'phone' THEN contains({DIGITS}, '55501') OR ends_with({DIGITS}, '0000000') OR contains({DIGITS}, '00000000') WHEN 'account' THEN length(regexp_replace({BARE}, '[^0]', '', 'g')) >= greatest(4, length({BARE}) - 2) END"""
+
+
+@registered(f"WITH {_spans_sql()} SELECT doc_id, kind, b AS start, b + length(value) AS \"end\", value, {FAKE} AS fake FROM k{len(pii.PRIORITY) - 1}")
 def pii_detect(spark, sf_dir):
     hits = table(spark, sf_dir, "documents").select("doc_id", F.explode(pii.detect(F.col("text"))).alias("h"))
     return hits.select("doc_id", "h.kind", "h.start", "h.end", "h.value", "h.fake")

@@ -214,3 +214,113 @@ def test_composed_texts(spark):
     row = spark.createDataFrame([("ﬁ １２", "\x85 a　")], "a string, b string").select(text.norm_quote(F.col("a")), text.strip(F.col("b"))).first()
     assert tuple(row) == ("fi 12", "a")
     assert report.length_stats(spark.range(5), "id").first()["mean"] == 2.0
+
+
+def plain_chunks(rows, most, soft):
+    """(text, section, page) of one document's elements (title, text, page), one after another."""
+    out, held, section, head = [], [], "", None
+    for title, words, page in rows:
+        words = (words or "").strip()
+        if not words:
+            continue
+        if title and held and sum(len(x) + 2 for x in held) >= soft:
+            out.append(("\n\n".join(held), *head))
+            held = []
+        if title:
+            section = words
+        if held and sum(len(x) + 2 for x in held) + len(words) > most:
+            out.append(("\n\n".join(held), *head))
+            held = []
+        if not held:
+            head = (section, page)
+        held.append(words)
+    return out + ([("\n\n".join(held), *head)] if held else [])
+
+
+def test_chunks_are_a_fold(spark):
+    import random
+
+    rng = random.Random(5)
+    docs = {d: [(rng.random() < 0.2, rng.choice(["", "x", "word " * rng.randrange(1, 30)]), rng.choice([None, 1, 2])) for _ in range(60)] for d in range(5)}
+    rows = [(d, i, "Title" if t else "NarrativeText", x, p, None) for d, parts in docs.items() for i, (t, x, p) in enumerate(parts)]
+    frame = spark.createDataFrame(rows, "doc_id int, index int, category string, text string, page int, image_path string").repartition(4)
+    got: dict = {}
+    for r in layout.chunks(frame, max_chars=300, soft_limit=120).orderBy("doc_id", "chunk").collect():
+        got.setdefault(r["doc_id"], []).append((r["text"], r["section"], r["page"]))
+    assert got == {d: plain_chunks(parts, 300, 120) for d, parts in docs.items()}
+
+
+EVIDENCE = "array<struct<document_sha256:string,document_version:string,page:int,element_id:string,quote:string,quote_sha256:string>>"
+
+
+def cited(quote, page=1, element="e1", sha=None, version="v1"):
+    return ("d", version, page, element, quote, sha or hashlib.sha256(quote.encode()).hexdigest())
+
+
+def test_example_scores_by_hand(spark):
+    gold = spark.createDataFrame(
+        [("a", "c", True, "12 won", [cited("it costs 12 won")]), ("b", "c", True, "Seoul", [cited("in Seoul", element="e2")]), ("n", "c", False, "", []), ("m", "c", True, "x", [])],
+        f"qa_id string, category string, answerable boolean, answer string, evidence {EVIDENCE}",
+    )
+    said = spark.createDataFrame(
+        [("a", "12 won!", False, [cited("ｃosts 12", element="other")], ["e1", "e9"]), ("b", "Busan", False, [cited("Busan", page=4, element="e7")], ["e9"]), ("n", "unknown", False, [], [])],
+        f"qa_id string, answer string, abstained boolean, citations {EVIDENCE}, retrieved array<string>",
+    )
+    got = {r["qa_id"]: r for r in metrics.score_examples(gold, said).collect()}
+    a, b, n, m = (got[k] for k in "abnm")
+    assert (a["em"], a["f1"], a["numeric_exact"], a["citation_page_correct"], a["citation_span_correct"], a["grounded"], a["recall_at_k"], a["error_categories"]) == (1.0, 1.0, True, True, True, True, 1.0, [])
+    assert (b["em"], b["citation_page_correct"], b["citation_span_correct"], b["recall_at_k"]) == (0.0, False, False, 0.0)
+    assert set(b["error_categories"]) >= {"wrong_answer", "citation", "retrieval"}
+    assert (n["answerable"], n["abstained"], n["em"], n["error_categories"]) == (False, True, None, [])
+    assert m["schema_valid"] is False and "schema" in m["error_categories"]
+    total = metrics.aggregate(metrics.score_examples(gold, said)).first()
+    assert (total["n_examples"], total["n_answerable"], total["n_unanswerable"], total["em_rate"], total["abstain_tp"], total["abstain_precision"]) == (4, 3, 1, 0.3333, 1, 1.0)
+    assert metrics.taxonomy(metrics.score_examples(gold, said)).first()["n"] >= 1
+
+
+def test_rewards_by_hand(spark):
+    schema = f"qa_id string, answer string, answerable boolean, category string, source_status string, document_version string, computation struct<op:string,operands:array<double>>, answer_value double, evidence {EVIDENCE}"
+    rows = [
+        ("good", "12 won", True, "single_fact", "active", "v1", None, None, [cited("it costs 12 won")]),
+        ("wide", "ok", True, "single_fact", "active", "v1", None, None, [cited("ＡＢ", sha=hashlib.sha256(b"AB").hexdigest())]),
+        ("forged", "13 won", True, "single_fact", "stale", "v1", None, None, [cited("it costs 12 won", sha="0")]),
+        ("sum", "5", True, "calculation", "active", "v1", ("sum", [2.0, 3.0]), None, [cited("2 and 3")]),
+        ("mail", "ask a@firma.de", True, "single_fact", "active", "v2", None, None, [cited("ask a@firma.de", version="v2")]),
+    ]
+    got = {r["qa_id"]: r for r in evidence.rewards(spark.createDataFrame(rows, schema), markers=quality.REFUSALS, latest_version="v1").collect()}
+    assert got["good"]["total"] == 1.0 and got["wide"]["evidence_validity"] == 1.0
+    assert (got["forged"]["evidence_validity"], got["forged"]["numeric_consistency"], got["forged"]["version_recency"]) == (0.0, 0.0, 0.0)
+    assert got["sum"]["calculation"] == 1.0
+    assert (got["mail"]["pii_nonexposure"], got["mail"]["version_recency"]) == (0.0, 0.0)
+
+
+def test_bootstrap_is_the_plain_one(spark):
+    import random
+
+    rng = random.Random(1)
+    a = {f"q{i:02}": rng.random() for i in range(30)}
+    b = {k: v - rng.random() * 0.3 for k, v in a.items()}
+    frame = lambda x, arm: spark.createDataFrame([(arm, k, True, v) for k, v in x.items()], "arm string, qa_id string, answerable boolean, f1 double")
+    got = metrics.paired_bootstrap(frame(a, "x"), frame(b, "y"), "f1", n=200, seed=3).first()
+    d, draw = [a[k] - b[k] for k in sorted(a)], random.Random(3)
+    means = sorted(sum(d[draw.randrange(len(d))] for _ in d) / len(d) for _ in range(200))
+    assert (got["n_pairs"], got["low"], got["high"], got["significant"]) == (30, pytest.approx(means[5]), pytest.approx(means[194]), True)
+    assert got["delta"] == pytest.approx(sum(d) / len(d))
+
+
+def test_exports(spark, tmp_path):
+    from cartulary.operators import rubric, training
+
+    rows = spark.createDataFrame([("a", "c", "q", "x", True, [("e",)], "active"), ("b", "c", "q", "y", False, [("e",)], "archive"), ("d", "c", "q", "z", True, [], "held")], "qa_id string, category string, question string, answer string, answerable boolean, evidence array<struct<quote:string>>, part string")
+    training.write_export(rows, str(tmp_path / "out"), system="s")
+    read = lambda name: spark.read.json(str(tmp_path / "out" / name))
+    assert [m["content"] for m in read("train_sft").first()["messages"]] == ["s", "q\n\n[근거]\ne", "x"]
+    assert (read("versioned_archive").first()["qa_id"], read("held_for_review").first()["qa_id"]) == ("b", "d")
+    ids = spark.range(100).withColumnRenamed("id", "k")
+    first, second = ({r["k"] for r in training.seeded_slice(ids, "k", 10, skip=s).collect()} for s in (0, 10))
+    assert len(first) == len(second) == 10 and not first & second and first == {r["k"] for r in training.seeded_slice(ids.repartition(5), "k", 10).collect()}
+    scored = spark.createDataFrame([("a", True, False, "why")], "qa_id string, format_ok boolean, register_ok boolean, register_reason string")
+    clean, rejected = rubric.split_clean(scored, ("format", "register"))
+    assert clean.count() == 0 and rejected.first()["_reject_reasons"] == {"register": "why"}
+    card = runs.model_card({"arms": {"sft": {"metrics": {"f1": {"mean": 0.5, "std": 0.1, "n": 3}, "em": "not_measured"}}}}, name="n", base_model="b", arm="sft")
+    assert "| f1 | 0.5 ± 0.1 (n=3) |" in card and "| em | not measured |" in card
