@@ -7,9 +7,9 @@ frequent words, the word in its class (class-factored softmax). Rarer words are
 such a class a word's share is that of its count, (c + 0.5) / (n + 0.5 (v + 1)) for the class's n tokens and v words,
 so every word has a probability, met or not.
 
-Training: truncated back-propagation through time. In each round every task trains on its own share of the training
-documents (a fixed fraction, so it grows with the input) from common weights, and the tasks' weights are averaged by
-tokens. Scoring: documents stream through lanes of one batch, window by window, with the state carried from window to
+Training: truncated back-propagation through time on every training document, each in one of the rounds. In a round
+every task trains on its own documents from common weights, and the tasks' weights are averaged by tokens, in the
+tasks' order, so that the same input gives the same weights whatever fails and is run again. Scoring: documents stream through lanes of one batch, window by window, with the state carried from window to
 window until a document ends, so a document of any length is scored whole.
 
 Only the `known` most frequent words (a fixed number) are sent to tasks with their counts; all other words of a
@@ -22,51 +22,96 @@ read.
 
 from __future__ import annotations
 
+import copy
 import heapq
+import math
 import zlib
-from collections import Counter
 from dataclasses import dataclass
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cartulary.llm.common import materialize, record_batch, slices, texts_of
+from cartulary.llm.common import materialize, record_batch
 
 END = ""  # no word is empty
 TAIL_CLASSES = 16
+#: Bytes of texts that are split into words at a time.
+SLICE_BYTES = 4 << 20
+LEAST_HEAD = 1024
 #: Documents that wait for a lane at most (and one batch more), so that long ones can go first.
 WAITING = 1024
 
 
-def words_of(text: str) -> list[bytes]:
-    """Runs without \\x20 and \\x09-\\x0D, A-Z in lower case."""
-    return text.encode("utf-8").lower().split()
+def split_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """(the words of all texts, one after another, how many each has): runs without \\x20 and \\x09-\\x0D, A-Z in lower case."""
+    fresh = texts.take(pa.array(np.arange(len(texts))))  # ascii_lower goes wrong on slices whose bytes don't begin their buffer
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(fresh.cast(pa.large_string()).fill_null("")))
+    words, sizes = lists.flatten(), lists.value_lengths().to_numpy().astype(np.int64)
+    filled = pc.greater(pc.binary_length(words), 0)
+    if not pc.all(filled).as_py():
+        sizes = np.bincount(np.repeat(np.arange(len(sizes)), sizes), weights=filled.to_numpy(zero_copy_only=False), minlength=len(sizes)).astype(np.int64)
+        words = words.filter(filled)
+    return words, sizes
+
+
+def text_slices(batches, column: str):
+    """Batches cut into runs of rows whose texts have SLICE_BYTES at most, or one row."""
+    for batch in batches:
+        size = np.append(0, np.cumsum(pc.binary_length(batch.column(column)).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)))
+        at = 0
+        while at < batch.num_rows:
+            end = max(at + 1, int(np.searchsorted(size, size[at] + SLICE_BYTES, "right")) - 1)
+            yield batch.slice(at, end - at)
+            at = end
 
 
 def tail_class(word: bytes) -> int:
     return zlib.crc32(word[-2:]) % TAIL_CLASSES
 
 
-def word_counts(docs: DataFrame, *, text_col: str = "text", flush: int = 300_000) -> DataFrame:
-    """(word, c) over all texts, the end of each counted as the word ''."""
+@cache
+def _tail_tables() -> tuple[np.ndarray, np.ndarray]:
+    """Tail classes by the only byte, and by the last two."""
+    return np.array([tail_class(bytes([a])) for a in range(256)], np.int32), np.array([tail_class(bytes([a, b])) for a in range(256) for b in range(256)], np.int32)
+
+
+def tail_classes(words: pa.Array) -> np.ndarray:
+    """Of large strings, none of them empty."""
+    if not len(words):
+        return np.zeros(0, np.int32)
+    one, two = _tail_tables()
+    _, ends, data = words.buffers()
+    ends = np.frombuffer(ends, np.int64)[words.offset : words.offset + len(words) + 1]
+    data = np.frombuffer(data, np.uint8)
+    last, before = data[ends[1:] - 1], data[np.maximum(ends[1:] - 2, 0)]
+    return np.where(np.diff(ends) > 1, two[before.astype(np.int64) * 256 + last], one[last])
+
+
+def word_counts(docs: DataFrame, *, text_col: str = "text", flush: int = 2_000_000) -> DataFrame:
+    """(word, c) over all texts, the end of each counted as the word ''. A task sums every `flush` words."""
 
     def run(batches):
-        counts: Counter = Counter()
+        held, n_held, ends = [], 0, 0
 
         def out():
-            return pa.RecordBatch.from_arrays([pa.array([w.decode("utf-8") for w in counts]), pa.array(list(counts.values()), pa.int64())], names=["word", "n"])
-
-        for b in slices(batches):
-            for text in texts_of(b, text_col):
-                counts.update(words_of(text))
-                counts[b""] += 1
-            if len(counts) > flush:
+            counts = pa.concat_arrays(held).value_counts()
+            return pa.RecordBatch.from_arrays([pa.concat_arrays([counts.field("values").cast(pa.string()), pa.array([END])]), pa.concat_arrays([counts.field("counts"), pa.array([ends], pa.int64())])], names=["word", "n"])
+
+        for b in text_slices(batches, text_col):
+            words, sizes = split_words(b.column(text_col))
+            held.append(words)
+            n_held, ends = n_held + len(words), ends + len(sizes)
+            if n_held >= flush:
                 yield out()
-                counts.clear()
-        yield out()
+                held, n_held, ends = [], 0, 0
+        if ends:
+            yield out()
 
     return docs.select(text_col).mapInArrow(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("c"))
 
@@ -122,32 +167,48 @@ class Vocabulary:
 
 
 class Reader:
-    """Turns texts into tokens. For each: tokens with the end, log10 sums of counts, and the words not known with how often they come."""
+    """Turns texts into tokens."""
 
     def __init__(self, v: Vocabulary):
         self.v = v
-        self.rank = {w: i for i, w in enumerate(v.words)}
-        self.token = np.array([i if i < v.head else v.head + tail_class(w) for i, w in enumerate(v.words)], dtype=np.int32)
-        self.log_count = np.log10(v.counts + 0.5)
-        self.end = self.rank[b""]
+        self.known = pa.array([w.decode("utf-8") for w in v.words], pa.large_string())
+        self.end = v.words.index(b"")
+        self.end_unmet = int(v.counts[self.end] == 0)
         self.log_tail = np.log10(v.tail_n + 0.5 * (v.tail_v + 1))
-
-    def read(self, text: str) -> tuple[np.ndarray, float, float, int, Counter]:
-        """(tokens, log10 counts of known tokens, the part of those that are predicted by class and count less the classes' log10 sizes, known tokens, unknown words)."""
-        words = words_of(text)
-        get = self.rank.get
-        at = np.array([get(w, -1) for w in words] + [self.end], dtype=np.int64)
-        tokens = self.token[at]
+        token = np.array([i if i < v.head else v.head + tail_class(w) for i, w in enumerate(v.words)], dtype=np.int32)
+        logs = np.log10(v.counts + 0.5)
+        parts = np.where(token >= v.head, logs - self.log_tail[np.maximum(token - v.head, 0)], 0.0)
+        # The last place of each table is for words that aren't known.
+        self.token, self.log_count, self.part = np.append(token, 0).astype(np.int32), np.append(logs, 0.0), np.append(parts, 0.0)
+
+    def _tokens(self, texts: pa.Array):
+        words, sizes = split_words(texts)
+        at = pc.index_in(words, value_set=self.known).fill_null(-1).to_numpy(zero_copy_only=False)
+        tokens = self.token.take(at, mode="wrap")
         new = np.flatnonzero(at < 0)
-        met = [words[i] for i in new.tolist()]
-        tokens[new] = [self.v.head + tail_class(w) for w in met]
-        unknown = Counter(met)
-        known = at[at >= 0]
-        logs = self.log_count[known]
-        tail = tokens >= self.v.head
-        parts = float(logs[known >= self.v.head].sum()) - float(self.log_tail[tokens[tail] - self.v.head].sum())
-        n_known = int((self.v.counts[known] > 0).sum())
-        return tokens, float(logs.sum()), parts, n_known, unknown
+        unknown = words.take(pa.array(new))
+        tails = tail_classes(unknown)
+        tokens[new] = self.v.head + tails
+        ends = np.cumsum(sizes)
+        return at, tokens, new, unknown, tails, ends - sizes, ends
+
+    def sequences(self, texts: pa.Array) -> list[np.ndarray]:
+        """The tokens of each text, and its end."""
+        _, tokens, _, _, _, starts, ends = self._tokens(texts)
+        last = np.array([self.end], np.int32)
+        return [np.concatenate([tokens[a:b], last]) for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
+
+    def read(self, texts: pa.Array) -> list[tuple[np.ndarray, float, float, int, pa.Array]]:
+        """For each text: tokens with the end, the sum of log10 counts of known words, the part of those that are predicted
+        by class and count, less the classes' log10 sizes, known tokens, and the words that aren't known."""
+        at, tokens, new, unknown, tails, starts, ends = self._tokens(texts)
+        part = self.part.take(at, mode="wrap")
+        part[new] -= self.log_tail[tails]
+        logs, parts, known = (np.append(0, np.cumsum(x)) for x in (self.log_count.take(at, mode="wrap"), part, at >= 0))
+        logs, parts, known = logs[ends] - logs[starts] + self.log_count[self.end], parts[ends] - parts[starts], known[ends] - known[starts] + 1 - self.end_unmet
+        first, last = np.searchsorted(new, starts), np.searchsorted(new, ends)
+        final = np.array([self.end], np.int32)
+        return [(np.concatenate([tokens[a:b], final]), float(x), float(y), int(k), unknown.slice(i, j - i)) for a, b, x, y, k, i, j in zip(*(z.tolist() for z in (starts, ends, logs, parts, known, first, last)), strict=True)]
 
 
 class Network:
@@ -170,98 +231,141 @@ class Network:
         }
         self.w = {k: a.astype(np.float32) for k, a in self.w.items()}
 
+    def copy(self) -> Network:
+        """The same with weights of its own."""
+        other = copy.copy(self)
+        other.w = {k: a.copy() for k, a in self.w.items()}
+        return other
+
     def run(self, inputs: np.ndarray, fresh: np.ndarray, h: np.ndarray, keep: bool = False):
-        """States (steps x lanes x size) and the last; fresh marks steps that begin a document."""
-        u, b, s = self.w["u"], self.w["b"], self.size
-        drive = self.w["x"][inputs] + b
-        out = np.empty((*inputs.shape, s), np.float32)
-        saved = []
+        """States (steps x lanes x size), the last, and on request what back-propagation needs; fresh marks steps that
+        begin a document."""
+        s = self.size
+        # Gates are kept as the negatives that the logistic function takes; all arrays are contiguous by step.
+        x = self.w["x"] + self.w["b"]
+        gates, n = (-x[:, : 2 * s]).take(inputs, axis=0), x[:, 2 * s :].take(inputs, axis=0)
+        to_gates, to_n = np.ascontiguousarray(-self.w["u"][:, : 2 * s]), np.ascontiguousarray(self.w["u"][:, 2 * s :])
+        out = np.empty(n.shape, n.dtype)
+        before, recur = (np.empty(n.shape, n.dtype) for _ in range(2)) if keep else (None, None)
+        g, pull = np.empty(n.shape[1:], n.dtype), np.empty(gates.shape[1:], n.dtype)
+        begins = fresh.any(axis=1).tolist()
         for t in range(len(inputs)):
-            if fresh[t].any():
-                h = np.where(fresh[t][:, None], np.float32(0), h)
-            g = h @ u
-            zr = drive[t, :, : 2 * s] + g[:, : 2 * s]
-            zr *= -1
+            if begins[t]:
+                h = np.where(fresh[t][:, None], h.dtype.type(0), h)
+            zr = gates[t]
+            zr += np.matmul(h, to_gates, out=pull)
             np.exp(zr, out=zr)
             zr += 1
             np.reciprocal(zr, out=zr)
-            n = np.tanh(drive[t, :, 2 * s :] + zr[:, s:] * g[:, 2 * s :])
+            np.matmul(h, to_n, out=g)
             if keep:
-                saved.append((h, zr, n, g[:, 2 * s :]))
-            h = n + zr[:, :s] * (h - n)
-            out[t] = h
-        return out, h, saved
-
-    def log_probs(self, states: np.ndarray, targets: np.ndarray, grads: dict | None = None):
-        """Natural log of P(class) and, for head words, P(word | class), for rows of states; with grads, also adds the
-        gradients of minus their sum and returns those of the states."""
-        w = self.w
-        logits = states @ w["c"]
-        logits += w["cb"]
-        cls = self.v.classes[targets]
-        rows = np.arange(len(targets))
-        np.clip(logits, -80.0, 80.0, out=logits)  # float32 holds exp of these, so no row's greatest is needed
-        out = logits[rows, cls]
-        e = np.exp(logits, out=logits)
-        total = e @ np.ones(e.shape[1], np.float32)
-        out = out - np.log(total)
-        back = None
-        if grads is not None:
-            e /= total[:, None]
-            e[rows, cls] -= 1
-            grads["c"] += states.T @ e
-            grads["cb"] += e.sum(axis=0)
-            back = e @ w["c"].T
+                before[t], recur[t] = h, g
+            g *= zr[:, s:]
+            n[t] += g
+            np.tanh(n[t], out=n[t])
+            h = np.subtract(h, n[t], out=out[t])
+            h *= zr[:, :s]
+            h += n[t]
+        return out, h.copy(), (before, gates, recur, n) if keep else None
+
+    def log_probs(self, states: np.ndarray, targets: np.ndarray, cells: np.ndarray, grads: dict | None = None):
+        """Natural log of P(class) and, for head words, P(word | class), at the given cells of a window (states: cells x
+        size); with grads, also adds the gradients of minus their sum and returns those of all states."""
+        w, kind = self.w, states.dtype
+        ones = np.ones(max(self.v.n_classes, self.v.head), kind)
+        # Class by class: once sorted, a class's rows lie side by side, and so do its words.
+        cls = self.v.classes[targets[cells]].astype(np.int16)
         order = np.argsort(cls, kind="stable")
-        bounds = np.searchsorted(cls[order], np.arange(len(self.v.members) + 1))
-        for k, members in enumerate(self.v.members):
-            at = order[bounds[k] : bounds[k + 1]]
-            if len(members) < 2 or not len(at):
+        cls, at = cls[order], cells[order]
+        near, word = states[at], targets[at]
+        bounds = np.searchsorted(cls, np.arange(len(self.v.members) + 1)).tolist()
+
+        def softmax(logits: np.ndarray, at: np.ndarray) -> np.ndarray:
+            """Natural log of the share of column `at` of each row; the logits become the gradient of minus its sum."""
+            np.minimum(logits, 80, out=logits)  # float32 holds exp of these, so no row's greatest is needed
+            np.maximum(logits, -80, out=logits)
+            flat = np.arange(0, logits.size, logits.shape[1])
+            flat += at
+            out = logits.reshape(-1).take(flat)
+            np.exp(logits, out=logits)
+            total = logits @ ones[: logits.shape[1]]
+            out -= np.log(total)
+            if grads is not None:
+                logits *= (1 / total)[:, None]
+                logits.reshape(-1)[flat] -= 1
+            return out
+
+        e = near @ w["c"]
+        e += w["cb"]
+        found = softmax(e, cls)
+        if grads is not None:
+            grads["c"] += near.T @ e
+            grads["cb"] += np.ones(len(e), kind) @ e
+            pull = e @ w["c"].T
+        for members, a, b in zip(self.v.members, bounds, bounds[1:], strict=False):
+            if len(members) < 2 or a == b:
                 continue
-            inner = states[at] @ w["o"][members].T + w["ob"][members]
-            inner -= inner.max(axis=1, keepdims=True)
-            ei = np.exp(inner)
-            ti = ei.sum(axis=1)
-            hit = targets[at] - members[0]
-            r = np.arange(len(at))
-            out[at] += inner[r, hit] - np.log(ti)
+            lo, hi = int(members[0]), int(members[-1]) + 1
+            own, here = w["o"][lo:hi], near[a:b]
+            inner = here @ own.T
+            inner += w["ob"][lo:hi]
+            found[a:b] += softmax(inner, word[a:b] - lo)
             if grads is not None:
-                ei /= ti[:, None]
-                ei[r, hit] -= 1
-                grads["o"][members] += ei.T @ states[at]
-                grads["ob"][members] += ei.sum(axis=0)
-                back[at] += ei @ w["o"][members]
+                grads["o"][lo:hi] += inner.T @ here
+                grads["ob"][lo:hi] += np.ones(b - a, kind) @ inner
+                pull[a:b] += inner @ own
+        out = np.empty_like(found)
+        out[order] = found
+        if grads is None:
+            return out, None
+        back = np.zeros_like(states)
+        back[at] = pull
         return out, back
 
     def gradients(self, inputs, targets, fresh, live, h):
         """Of the mean loss over the live cells of a window, and the state after it."""
         s = self.size
         grads = {k: np.zeros_like(a) for k, a in self.w.items()}
-        states, last, saved = self.run(inputs, fresh, h, keep=True)
-        cells = live.ravel()
-        back = np.zeros((cells.size, s), np.float32)
-        _, back[cells] = self.log_probs(states.reshape(-1, s)[cells], targets.ravel()[cells], grads)
+        states, last, (before, gates, recur, n) = self.run(inputs, fresh, h, keep=True)
+        cells = np.flatnonzero(live)
+        _, back = self.log_probs(states.reshape(-1, s), targets.ravel(), cells, grads)
         back = back.reshape(states.shape)
+        dg = np.empty((*inputs.shape, 3 * s), states.dtype)  # of h @ u
+        dn = np.empty(states.shape, states.dtype)  # of the candidate's own input
         carry = np.zeros_like(h)
-        drive = np.zeros((*inputs.shape, 3 * s), np.float32)
-        u = self.w["u"]
+        back_u = np.ascontiguousarray(self.w["u"].T)
+        begins = fresh.any(axis=1).tolist()
         for t in range(len(inputs) - 1, -1, -1):
-            before, zr, n, gn = saved[t]
-            z, r = zr[:, :s], zr[:, s:]
-            d = back[t] + carry
-            dn = d * (1 - z) * (1 - n * n)
-            dz = d * (before - n) * z * (1 - z)
-            dr = dn * gn * r * (1 - r)
-            drive[t, :, :s], drive[t, :, s : 2 * s], drive[t, :, 2 * s :] = dz, dr, dn
-            dg = np.concatenate([dz, dr, dn * r], axis=1)
-            grads["u"] += before.T @ dg
-            carry = d * z + dg @ u.T
-            carry[fresh[t]] = 0
-        flat = drive.reshape(-1, 3 * s)
-        np.add.at(grads["x"], inputs.ravel(), flat)
-        grads["b"] += flat.sum(axis=0)
-        n = max(1, int(cells.sum()))
-        return {k: g / n for k, g in grads.items()}, last
+            z, r, own, d, g = gates[t, :, :s], gates[t, :, s:], n[t], back[t], dg[t]
+            d += carry
+            through = d * z
+            rest = d - through
+            np.multiply(own, own, out=dn[t])
+            np.subtract(1, dn[t], out=dn[t])
+            dn[t] *= rest
+            gate = before[t] - own
+            gate *= rest
+            np.multiply(gate, z, out=g[:, :s])
+            pulled = dn[t] * r
+            g[:, 2 * s :] = pulled
+            pulled *= recur[t]
+            pulled *= 1 - r
+            g[:, s : 2 * s] = pulled
+            carry = g @ back_u
+            carry += through
+            if begins[t]:
+                carry[fresh[t]] = 0
+        grads["u"] += before.reshape(-1, s).T @ dg.reshape(-1, 3 * s)
+        dg[:, :, 2 * s :] = dn
+        drive = dg.reshape(-1, 3 * s)
+        grads["b"] += drive.sum(axis=0)
+        order = np.argsort(inputs.ravel(), kind="stable")
+        tokens, firsts = np.unique(inputs.ravel()[order], return_index=True)
+        grads["x"][tokens] += np.add.reduceat(drive[order], firsts, axis=0)
+        count = max(1, len(cells))
+        for g in grads.values():
+            g /= count
+        return grads, last
 
 
 class Lanes:
@@ -314,12 +418,12 @@ class Lanes:
         return inputs.T, targets.T, np.ascontiguousarray(fresh.T), np.ascontiguousarray(live.T), doc.T
 
 
-def train_round(docs: DataFrame, sent, *, text_col: str, rate: float, lanes: int = 64, steps: int = 24, partials: int = 16) -> dict | None:
-    """One round of training on docs from the weights in sent (a broadcast network): the tasks' weights, averaged."""
+def train_round(docs: DataFrame, net: Network, *, text_col: str, rate: float, lanes: int = 256, steps: int = 32, partials: int = 16) -> dict | None:
+    """One round of training on docs from the weights of net: the tasks' weights, averaged by their tokens."""
+    sent = docs.sparkSession.sparkContext.broadcast(net)  # head, known and size bound it
 
     def local(batches):
-        net: Network = sent.value
-        net.w = {k: a.copy() for k, a in net.w.items()}
+        net = sent.value.copy()  # a worker keeps the object for its next task
         reader = Reader(net.v)
         flow = Lanes(lanes, steps, reader.end)
         h = np.zeros((lanes, net.size), np.float32)
@@ -333,17 +437,17 @@ def train_round(docs: DataFrame, sent, *, text_col: str, rate: float, lanes: int
             grads, h = net.gradients(inputs, targets, fresh, live, h)
             n += int(live.sum())
             step += 1
-            norm = np.sqrt(sum(float((g * g).sum()) for g in grads.values()))
+            scale = min(1.0, 1.0 / max(np.sqrt(sum(float((g * g).sum()) for g in grads.values())), 1e-9))
             for k, g in grads.items():
-                g = g * min(1.0, 1.0 / max(norm, 1e-9))
+                g *= scale
                 m, v = moments[k]
                 m += 0.1 * (g - m)
                 v += 0.01 * (g * g - v)
                 net.w[k] -= rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-6)
 
-        for b in slices(batches):
-            for text in texts_of(b, text_col):
-                flow.add(reader.read(text)[0], n_read)
+        for b in text_slices(batches, text_col):
+            for tokens in reader.sequences(b.column(text_col)):
+                flow.add(tokens, n_read)
                 n_read += 1
             while len(flow.queue) >= WAITING:
                 learn()
@@ -351,32 +455,34 @@ def train_round(docs: DataFrame, sent, *, text_col: str, rate: float, lanes: int
             learn()
         if n:
             flat = np.concatenate([a.ravel() for a in net.w.values()]).astype(np.float32)
-            yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64()), pa.array([flat.tobytes()], pa.binary())], names=["n", "weights"])
+            task = TaskContext.get().partitionId()
+            yield pa.RecordBatch.from_arrays([pa.array([task], pa.int64()), pa.array([n], pa.int64()), pa.array([flat.tobytes()], pa.binary())], names=["task", "n", "weights"])
 
     def mean(batches):
-        total, n = None, 0
+        total, n, task = None, 0, 0
         for b in batches:
             for row in b.to_pylist():
                 part = np.frombuffer(row["weights"], np.float32).astype(np.float64) * row["n"]
-                total, n = part if total is None else total + part, n + row["n"]
+                total, n, task = part if total is None else total + part, n + row["n"], row["task"]
         if n:
-            yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64()), pa.array([(total / n).astype(np.float32).tobytes()], pa.binary())], names=["n", "weights"])
+            yield pa.RecordBatch.from_arrays([pa.array([task], pa.int64()), pa.array([n], pa.int64()), pa.array([(total / n).astype(np.float32).tobytes()], pa.binary())], names=["task", "n", "weights"])
 
-    kind = "n long, weights binary"
-    rows = docs.select(text_col).mapInArrow(local, kind).repartition(partials).mapInArrow(mean, kind).collect()  # `partials` rows at most
+    kind = "task long, n long, weights binary"
+    dealt = docs.select(text_col).mapInArrow(local, kind).repartition(partials, "task").sortWithinPartitions("task")  # sums in one order, whatever arrives first
+    rows = sorted(dealt.mapInArrow(mean, kind).collect(), key=lambda r: r["task"])  # `partials` rows at most
     if not rows:
         return None
-    rows = sorted(rows, key=lambda r: (r["n"], bytes(r["weights"])))
     flat = sum(np.frombuffer(r["weights"], np.float32).astype(np.float64) * r["n"] for r in rows) / sum(r["n"] for r in rows)
     out, at = {}, 0
-    for k, a in sent.value.w.items():
+    for k, a in net.w.items():
         out[k] = flat[at : at + a.size].reshape(a.shape).astype(np.float32)
         at += a.size
     return out
 
 
-def fit(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", head: int = 1024, known: int = 100_000, n_classes: int = 32, size: int = 16, rounds: int = 2, share: int = 16, rate: float = 0.01) -> tuple[Network, DataFrame]:
-    """(network, table of counts), from training documents: all of them for the counts, one in `share` for each round."""
+def fit(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", head: int | None = None, known: int = 100_000, size: int = 16, rounds: int = 2, rate: float = 0.03, lanes: int = 256) -> tuple[Network, DataFrame]:
+    """(network, table of counts), from all training documents: each is counted, and each is learnt from in one of the
+    rounds. Where `head` isn't given, the head words grow with the counts (`head_size`), and classes with the head."""
     counts = materialize(word_counts(docs, text_col=text_col), "lm-counts")
     bin_of = F.floor(F.log2(F.col("c").cast("double")) * 8).cast("int")
     bins = sorted(((r["b"], r["v"], r["n"]) for r in counts.groupBy(bin_of.alias("b")).agg(F.count("*").alias("v"), F.sum("c").alias("n")).collect()), reverse=True)  # a row for each eighth of a doubling
@@ -387,23 +493,27 @@ def fit(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", head
         least, taken = b, taken + v
     top = [(r["word"], r["c"]) for r in counts.where((bin_of >= least) | (F.col("word") == END)).collect()] if least is not None else [(r["word"], r["c"]) for r in counts.where(F.col("word") == END).collect()]
     tails = {r["k"]: (r["n"], r["v"]) for r in counts.groupBy(tail_class_of(F.col("word")).alias("k")).agg(F.sum("c").alias("n"), F.count("*").alias("v")).collect()}
-    v = Vocabulary.build(top or [(END, 0)], tails, sum(n for _, _, n in bins), sum(v for _, v, _ in bins), head, n_classes)
+    total = sum(n for _, _, n in bins)
+    head = head or head_size(total)
+    v = Vocabulary.build(top or [(END, 0)], tails, total, sum(v for _, v, _ in bins), head, math.isqrt(head))
     net = Network(v, size)
-    part = F.pmod(F.xxhash64(F.col(id_col).cast("string"), F.lit("lm")), F.lit(share))
+    part = F.pmod(F.xxhash64(F.col(id_col).cast("string"), F.lit("lm")), F.lit(rounds))
     for i in range(rounds):
-        sent = docs.sparkSession.sparkContext.broadcast(net)  # head, known and size bound it
-        new = train_round(docs.where(part == i), sent, text_col=text_col, rate=rate / (i + 1))
-        net = Network(v, size)
-        net.w = new or net.w
+        net.w = train_round(docs.where(part == i), net, text_col=text_col, rate=rate / (i + 1), lanes=lanes) or net.w
     return net, counts
 
 
-def score(docs: DataFrame, net: Network, counts: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lanes: int = 256, steps: int = 32) -> DataFrame:
+def head_size(tokens: int) -> int:
+    """Words that are predicted one by one: twice the cube root of the training tokens, and LEAST_HEAD at least."""
+    return max(LEAST_HEAD, math.ceil(2 * tokens ** (1 / 3)))
+
+
+def score(docs: DataFrame, net: Network, counts: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lanes: int = 256, steps: int = 64) -> DataFrame:
     """(id, n_tokens, n_known, base_score, score): log10 probabilities of whole texts, by counts and by the network."""
     sent = docs.sparkSession.sparkContext.broadcast(net)
     schema = T.StructType(
         [T.StructField("rid", T.LongType()), docs.schema[id_col], T.StructField("n_tokens", T.LongType()), T.StructField("known", T.LongType()), T.StructField("logs", T.DoubleType()), T.StructField("model", T.DoubleType())]
-        + [T.StructField("words", T.ArrayType(T.StringType())), T.StructField("times", T.ArrayType(T.LongType()))]
+        + [T.StructField("words", T.ArrayType(T.StringType()))]
     )
 
     def run(batches):
@@ -421,24 +531,27 @@ def score(docs: DataFrame, net: Network, counts: DataFrame, *, id_col: str = "do
             h = flow.narrow(h)
             inputs, targets, fresh, live, doc = flow.window()
             states, h, _ = net.run(inputs, fresh, h)
-            cells = live.ravel()
-            got, _ = net.log_probs(states.reshape(-1, net.size)[cells], targets.ravel()[cells])
-            docs_here, place = np.unique(doc.ravel()[cells], return_inverse=True)
-            sums = np.bincount(place, weights=got.astype(np.float64))
-            left = np.bincount(place)
-            for d, s, k in zip(docs_here.tolist(), sums.tolist(), left.tolist(), strict=True):
-                row = held[d]
+            cells = np.flatnonzero(live)
+            got, _ = net.log_probs(states.reshape(-1, net.size), targets.ravel(), cells)
+            place = doc.ravel()[cells]
+            first = int(place.min())
+            sums, left = (np.bincount(place - first, weights=x) for x in (got.astype(np.float64), None))
+            docs_here = np.flatnonzero(left)
+            for d, s, k in zip(docs_here.tolist(), sums[docs_here].tolist(), left[docs_here].tolist(), strict=True):
+                row = held[d + first]
                 row["model"] += s / np.log(10)
                 row["left"] -= k
 
         def done():
             rows = [held.pop(d) for d in [d for d, r in held.items() if not r["left"]]]
-            return record_batch(arrow, {f.name: [r[f.name] for r in rows] for f in schema})
-
-        for b in slices(batches):
-            for rid, doc_id, text in zip(b.column("rid").to_pylist(), b.column(id_col).to_pylist(), texts_of(b, text_col), strict=True):
-                tokens, logs, parts, n_known, unknown = reader.read(text)
-                held[number] = {"rid": rid, id_col: doc_id, "n_tokens": len(tokens), "known": n_known, "logs": logs, "model": parts, "words": [w.decode("utf-8") for w in unknown], "times": list(unknown.values()), "left": len(tokens)}
+            words = [r["words"] for r in rows]
+            ends = np.append(0, np.cumsum([len(w) for w in words])).astype(np.int32)
+            flat = pa.concat_arrays([w.cast(pa.string()) for w in words]) if words else pa.array([], pa.string())
+            return record_batch(arrow, {f.name: [r[f.name] for r in rows] for f in schema if f.name != "words"} | {"words": pa.ListArray.from_arrays(pa.array(ends), flat)})
+
+        for b in text_slices(batches, text_col):
+            for rid, doc_id, (tokens, logs, parts, n_known, unknown) in zip(b.column("rid").to_pylist(), b.column(id_col).to_pylist(), reader.read(b.column(text_col)), strict=True):
+                held[number] = {"rid": rid, id_col: doc_id, "n_tokens": len(tokens), "known": n_known, "logs": logs, "model": parts, "words": unknown, "left": len(tokens)}
                 flow.add(tokens, number)
                 number += 1
             while len(flow.queue) >= WAITING:
@@ -449,9 +562,9 @@ def score(docs: DataFrame, net: Network, counts: DataFrame, *, id_col: str = "do
         yield done()
 
     rows = materialize(docs.select(F.monotonically_increasing_id().alias("rid"), id_col, text_col).mapInArrow(run, schema), "lm-rows")
-    rare = rows.select("rid", F.explode(F.arrays_zip("words", "times")).alias("x")).select("rid", F.col("x.words").alias("word"), F.col("x.times").alias("k"))
-    met = rare.join(counts, "word", "left").groupBy("rid").agg(F.sum(F.col("k") * F.log10(F.coalesce("c", F.lit(0)) + 0.5)).alias("rare_logs"), F.sum(F.when(F.col("c") > 0, F.col("k"))).alias("rare_known"))
-    both = rows.drop("words", "times").join(met, "rid", "left")
+    rare = rows.select("rid", F.explode("words").alias("word"))
+    met = rare.join(counts, "word", "left").groupBy("rid").agg(F.sum(F.log10(F.coalesce("c", F.lit(0)) + 0.5)).alias("rare_logs"), F.count_if(F.col("c") > 0).alias("rare_known"))
+    both = rows.drop("words").join(met, "rid", "left")
     logs = F.coalesce("rare_logs", F.lit(0.0))
     size = float(np.log10(net.v.total + 0.5 * (net.v.distinct + 1)))
     return both.select(
