@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from cartulary.functions import text
+from cartulary.functions import numbers, text
 from cartulary.operators import audit, evidence, failures, layout, metrics, prompts, provenance, report, review, runs, training, trust
 from cartulary.registry import registered, sql_collapse, sql_norm_answer, table
 
@@ -375,3 +375,28 @@ COMPATIBLE = (("ﬁne １２３", "fine 123"), ("ｶﾞ㌔", "ガキロ"), ("x²
 def composed_texts(spark, sf_dir):
     rows = spark.createDataFrame([(i, a) for i, (a, _) in enumerate(COMPATIBLE)], "i int, x string")
     return rows.select("i", text.norm_quote(F.col("x")).alias("composed"), text.quote_sha256(F.col("x")).alias("quote_sha256"))
+
+
+NOISY = r"text <> '' AND (regexp_matches(text, '[\x{FFFD}\x{25A0}-\x{25FF}\x{2400}-\x{243F}]|[|]{2,}|_{3,}') OR (length(text) >= 8 AND length(regexp_replace(text, '[\p{L}\p{N}\s.,%()\-]', '', 'g'))::DOUBLE / length(text) > 0.4))"
+
+
+@registered(f"SELECT doc_id, CASE WHEN length(t) <= 80 THEN t ELSE regexp_replace(left(t, 80), '\\s+$', '') || ' …' END AS clipped, {NOISY} AS noisy FROM (SELECT doc_id, text, regexp_replace(regexp_replace(text, '^\\s+', ''), '\\s+$', '') AS t FROM documents)")
+def document_scalars(spark, sf_dir):
+    return table(spark, sf_dir, "documents").select("doc_id", text.clip(F.col("text"), 80).alias("clipped"), text.looks_ocr_noisy(F.col("text")).alias("noisy"))
+
+
+@registered(
+    """SELECT o_orderkey, o_orderkey % 40 / 2.0 AS version, CASE o_orderkey % 3 WHEN 0 THEN date_trunc('year', o_orderdate)::DATE WHEN 1 THEN date_trunc('month', o_orderdate)::DATE ELSE o_orderdate::DATE END AS day FROM orders"""
+)
+def order_versions_and_dates(spark, sf_dir):
+    k, day = F.col("o_orderkey"), F.col("o_orderdate")
+    said = F.when(k % 3 == 0, F.date_format(day, "yyyy")).when(k % 3 == 1, F.date_format(day, "yyyy-M")).otherwise(F.date_format(day, "yyyy-MM-dd"))
+    return table(spark, sf_dir, "orders").select("o_orderkey", numbers.version_number(F.concat(F.lit("v"), (k % 40 / 2.0).cast("string"))).alias("version"), numbers.partial_date(said).alias("day"))
+
+
+@registered("SELECT o_orderkey, list_sort([o_custkey % 9, o_orderkey % 5])[2]::DOUBLE AS most, round(o_totalprice * 0.001 + (o_custkey % 9) * 0.5, 6) AS cost FROM orders")
+def order_costs(spark, sf_dir):
+    units = {"tokens": F.col("o_totalprice"), "calls": F.col("o_custkey") % 9}
+    rates = {"tokens": 0.001, "calls": 0.5}
+    best = metrics.best_over_references(F.lit(0), F.array(F.col("o_custkey") % 9, F.col("o_orderkey") % 5), lambda _, r: r.cast("double"))
+    return table(spark, sf_dir, "orders").select("o_orderkey", best.alias("most"), numbers.cost(units, rates).alias("cost"))
