@@ -25,7 +25,7 @@ empty table gives an empty table; other columns are not read.
 from __future__ import annotations
 
 import itertools
-
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -430,12 +430,21 @@ def _labelled(prints: DataFrame, nodes: DataFrame, edges: DataFrame, id_col: str
     return prints.join(labels, on).select(id_col, "fp", "component_id")
 
 
-def near_duplicates(docs: DataFrame, *, words: int = 4, max_bits: int = 4, blocks: int = 6, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, fp, component_id) by 64-bit fingerprints: component_id is the least id that links reach from the row. Exact."""
+def best_blocks(n: int, max_bits: int, least: int = 6) -> int:
+    """Into how many blocks 64 bits are best cut for n fingerprints: more of them make more rows for each fingerprint, but
+    longer keys and so fewer chance pairs in a bucket (a pair costs about a hundredth of a row)."""
+    cost = lambda b: math.comb(b, max_bits) * (1 + 0.01 * n / 2 ** (64 * (b - max_bits) / b))
+    return min(range(least, 3 * max_bits + 1), key=cost)
+
+
+def near_duplicates(docs: DataFrame, *, words: int = 4, max_bits: int = 4, blocks: int | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id, fp, component_id) by 64-bit fingerprints: component_id is the least id that links reach from the row. Exact,
+    whatever the number of blocks, which is chosen by the number of distinct fingerprints."""
     prints = materialize(fingerprints(docs, words=words, id_col=id_col, text_col=text_col), "fingerprints")
     nodes = materialize(prints.groupBy("fp").agg(F.min(id_col).alias("least_id")).withColumn("node", F.col("fp")[0]), "distinct")
     few = nodes.select("node", "fp")
-    return _labelled(prints, nodes, near_edges(few, exact_bands(few, max_bits, blocks), max_bits=max_bits), id_col)
+    banded = exact_bands(few, max_bits, blocks or best_blocks(nodes.count(), max_bits))
+    return _labelled(prints, nodes, near_edges(few, banded, max_bits=max_bits), id_col)
 
 
 def similar_texts(docs: DataFrame, *, words: int = 5, seeds: tuple[int, ...] = (42, 43, 44, 45), max_bits: int = 72, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
