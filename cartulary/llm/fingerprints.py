@@ -38,7 +38,7 @@ ROUNDS = 7
 RETRY = 4
 CHECK_BITS = 24
 PARTING = r"\n+|(?<=[c-hC-H][.!?])\x20"
-LONG = 256
+LONG = 400
 LONG_PARTING = r"(?<=[.!?])\x20|(?<=[。！？؟।])"
 LONGER_PARTING = r"(?<=[c-h])\x20|(?<=[、，；：])"
 #: A pair that is still unclear after so many sizes is an error (the chance is nil).

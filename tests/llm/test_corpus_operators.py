@@ -45,7 +45,7 @@ def test_fingerprints(spark, docs):
     def units(text):
         parts = re.split(r"\n+|(?<=[c-hC-H][.!?]) ", text)
         for cut in (r"(?<=[.!?]) |(?<=[。！？؟।])", r"(?<=[c-h]) |(?<=[、，；：])"):
-            parts = [q for p in parts for q in (re.split(cut, p) if len(p) > 256 else [p])]
+            parts = [q for p in parts for q in (re.split(cut, p) if len(p) > fingerprints.LONG else [p])]
         return {p for p in parts if p.strip(" ")}
 
     def near(a, b):
