@@ -133,10 +133,9 @@ e AS (SELECT i, j FROM c WHERE k::DOUBLE / (m + n - k) >= 0.9)"""
 
 @registered(SIMILAR + " SELECT i, j FROM e")
 def similar_pairs(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents").withColumn("k", text.norm_key(F.col("text")))
-    first = docs.groupBy("k").agg(F.min("doc_id").alias("id"))
-    sets = docs.join(first, (docs["k"] == first["k"]) & (docs["doc_id"] == first["id"])).select("id", text.word_set(F.col("text")).alias("words"))
-    return quality.similar_pairs(sets, threshold=0.9)
+    docs = table(spark, sf_dir, "documents")
+    keys = quality.row_keys(docs, text=F.col("text"), order="doc_id")
+    return quality.similar_pairs(quality.row_sets(docs, text=F.col("text"), order="doc_id"), threshold=0.9, first=quality.first_rows(keys))
 
 
 # The scan itself, row by row: a row with a kept, similar row before it is dropped.
